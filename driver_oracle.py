@@ -63,6 +63,10 @@ _STATEMENTS = {
         SELECT o.series_id, m.friendly_name, o.date, o.value, m.units
         FROM obs o JOIN meta m ON o.series_id = m.series_id
         WHERE o.date = (SELECT max(date) FROM obs g WHERE g.series_id = o.series_id)"""),
+    "d7_latest_listing": ("big bmeta", """
+        SELECT b.series_id, m.friendly_name, b.date, b.value, m.units
+        FROM big b JOIN bmeta m ON b.series_id = m.series_id
+        WHERE b.date = (SELECT max(date) FROM big g WHERE g.series_id = b.series_id)"""),
     "d8_referential_filter": ("", """
         SELECT d.doc_id, d.lang FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""),
     "d9_calendar_gaps": ("big", """

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesflow.functions import parsing as P
-from seriesflow.operators import checks, quality, resample, revisions
+from seriesflow.operators import checks, joins, quality, resample, revisions
 from seriesflow.operators.quality import Expectations
 from seriesflow.plans import layers, update
 from seriesflow.schemas import LANDING_METADATA, LANDING_OBSERVATIONS
@@ -115,14 +115,19 @@ def d6_dimension_without_facts(spark, d):
 
 def d7_latest_values(spark, d):
     latest = revisions.at_latest_date(obs(spark, d).select("series_id", "date", "value"))
-    return latest.join(meta(spark, d), "series_id").select(
-        "series_id", "friendly_name", "date", "value", "units"
-    ).orderBy("series_id")
+    named = latest.join(meta(spark, d), "series_id")
+    return named.select("series_id", "friendly_name", "date", "value", "units").orderBy("series_id", "date", "value")
+
+
+def d7_latest_listing(spark, d):
+    """The same listing taken from the joined rows."""
+    gold = layers.gold_join(big(spark, d), bmeta(spark, d), SOURCE)
+    return checks.latest_values(gold)
 
 
 def d8_referential_filter(spark, d):
     documents = _read(spark, d, "documents").select("doc_id", "lang")
-    return quality.keep_referenced(documents, _read(spark, d, "labels"), "doc_id")
+    return joins.keep_referenced(documents, _read(spark, d, "labels"), "doc_id")
 
 
 def d9_calendar_gaps(spark, d):
@@ -514,6 +519,7 @@ _REGISTERED = (
     d5_orphans_by_series,
     d6_dimension_without_facts,
     d7_latest_values,
+    d7_latest_listing,
     d8_referential_filter,
     d9_calendar_gaps,
     e6_latest_wins,

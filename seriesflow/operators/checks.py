@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesflow.functions.parsing import today
+from seriesflow.operators.joins import drop_referenced
 from seriesflow.operators.quality import any_null, in_range, key_duplicates, not_in_future, valid_id
+from seriesflow.operators.revisions import at_latest_date
 
 
 def _rows() -> Column:
@@ -92,19 +94,15 @@ def rows_per_run(df: DataFrame, key: str = "series_id", run: str = "run_timestam
     return df.groupBy(key, run).agg(_rows().alias("n"))
 
 
-def _orphan_counts(facts: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
-    per_key = facts.groupBy(on).agg(_rows().alias("orphaned_records"))
-    return per_key.join(dimension.select(on), on, "left_anti")
-
-
 def orphans_by_series(facts: DataFrame, dimension: DataFrame, on: str = "series_id") -> DataFrame:
     """Number of facts without a dimension row, for each key."""
-    return _orphan_counts(facts, dimension, on)
+    per_key = facts.groupBy(on).agg(_rows().alias("orphaned_records"))
+    return per_key.join(dimension.select(on).distinct(), on, "left_anti")
 
 
 def orphans_by_group(facts: DataFrame, dimension: DataFrame, on: str, group_by: str) -> DataFrame:
     """Number of facts without a dimension row, for each value of another column."""
-    orphans = facts.select(on, group_by).join(dimension.select(on), on, "left_anti")
+    orphans = drop_referenced(facts.select(on, group_by), dimension, on)
     return orphans.groupBy(group_by).agg(_rows().alias("orphaned_records"))
 
 
@@ -115,7 +113,7 @@ def orphan_count(
     check_name: str = "Orphaned observations (no metadata)",
 ) -> DataFrame:
     """(check_name, count) of facts without a dimension row."""
-    total = _orphan_counts(facts, dimension, on).agg(F.sum("orphaned_records").alias("_n"))
+    total = orphans_by_series(facts, dimension, on).agg(F.sum("orphaned_records").alias("_n"))
     return total.select(
         F.lit(check_name).alias("check_name"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("count")
     )
@@ -136,8 +134,15 @@ def first_rows(df: DataFrame, order_by: Sequence[str | Column], n: int = 10) ->
 
 
 def by_date(df: DataFrame, sort_order: str = "asc", date: str = "date") -> DataFrame:
-    column = F.col(date)
-    return df.orderBy(column.desc() if sort_order == "desc" else column.asc())
+    """Rows in date order. The other columns end the order, so that a busy date spreads over partitions."""
+    first = F.desc(date) if sort_order == "desc" else F.asc(date)
+    return df.orderBy(first, *(c for c in df.columns if c != date))
+
+
+def latest_values(gold: DataFrame, key: str = "series_id", date: str = "date") -> DataFrame:
+    """Listing of all rows at the latest date of their series, in series order."""
+    columns = [key, "friendly_name", date, "value", "units"]
+    return at_latest_date(gold.select(*columns), key, date).orderBy(*columns)
 
 
 def report(

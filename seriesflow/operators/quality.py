@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -33,21 +35,20 @@ class Expectations:
         return F.coalesce(F.expr(self.rules[rule]).cast("boolean"), F.lit(False))
 
     def passes_all(self) -> Column:
-        ok = F.lit(True)
-        for rule in self.rules:
-            ok = ok & self.passes(rule)
-        return ok
+        return reduce(and_, map(self.passes, self.rules), F.lit(True))
 
     def failed_rules(self) -> Column:
         """Names of the rules a row breaks."""
-        return F.array_compact(F.array(*(F.when(~self.passes(r), F.lit(r)) for r in self.rules)))
+        names = F.array(*(F.when(~self.passes(r), F.lit(r)) for r in self.rules))
+        return F.array_except(names, F.array(F.lit(None).cast("string")))
 
     def enforce(self, df: DataFrame) -> DataFrame:
         """The rows that stay, in the mode of this set; batch or stream."""
         if not self.rules or self.mode == "warn":
             return df
         if self.mode == "drop":
-            return df.filter(self.passes_all())
+            # A filter drops NULL like false, so the bare predicates can reach the file scan.
+            return df.filter(reduce(and_, map(F.expr, self.rules.values())))
         message = F.concat(F.lit("expectation failed: "), F.array_join(self.failed_rules(), ", "))
         return df.filter(F.when(self.passes_all(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
@@ -74,7 +75,7 @@ class Expectations:
 
     def quarantine(self, df: DataFrame, column: str = "failed_rules") -> DataFrame:
         """The rows that :meth:`enforce` drops, with the names of the rules they break."""
-        return df.withColumn(column, self.failed_rules()).filter(F.size(column) > 0)
+        return df.filter(~self.passes_all()).withColumn(column, self.failed_rules())
 
 
 def in_range(column: str = "value", low: float = -5, high: float = 25) -> Column:
@@ -97,10 +98,7 @@ def is_upper(column: str = "series_id") -> Column:
 
 def any_null(*columns: str) -> Column:
     """True where at least one of the columns is NULL."""
-    violated = F.lit(False)
-    for column in columns:
-        violated = violated | F.col(column).isNull()
-    return violated
+    return reduce(or_, (F.col(c).isNull() for c in columns))
 
 
 def key_duplicates(df: DataFrame, key: Sequence[str], count: str = "n") -> DataFrame:
@@ -116,9 +114,3 @@ def primary_key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum(F.when(has_null, F.col("_n"))), F.lit(0)).cast("bigint").alias("null_keys"),
         F.count_if(~has_null & (F.col("_n") > 1)).alias("duplicate_keys"),
     )
-
-
-def keep_referenced(facts: DataFrame, dimension: DataFrame, on: str | Sequence[str] = "series_id") -> DataFrame:
-    """Facts whose key the dimension holds."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return facts.join(dimension.select(*keys), keys, "left_semi")

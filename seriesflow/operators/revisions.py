@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesflow.operators.joins import key_digest
+
 
 def _ordered_rest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list[str]:
     return [*order_by, *(c for c in df.columns if c not in keys and c not in order_by)]
@@ -57,6 +59,14 @@ def keep_first(
     return _one_per_key(df, keys, order_by, F.min)
 
 
+def latest_dimension(
+    df: DataFrame, key: str = "series_id", order_by: Sequence[str] = ("run_timestamp",)
+) -> DataFrame:
+    """The latest row of each series, to be joined to facts on the key."""
+    digested = df.withColumn("_digest", key_digest([key]))
+    return latest_wins(digested, [key, "_digest"], order_by).drop("_digest")
+
+
 def latest_only(
     df: DataFrame,
     keys: Sequence[str] = ("series_id",),
@@ -68,5 +78,5 @@ def latest_only(
 
 def at_latest_date(df: DataFrame, key: str = "series_id", date: str = "date") -> DataFrame:
     """All rows at the latest date of their series, ties kept."""
-    last = df.groupBy(F.col(key).alias("_key")).agg(F.max(date).alias("_last"))
+    last = df.groupBy(F.col(key).alias("_key"), key_digest([key])).agg(F.max(date).alias("_last")).drop("_digest")
     return df.join(last, (F.col(key) == F.col("_key")) & (F.col(date) == F.col("_last")), "left_semi")

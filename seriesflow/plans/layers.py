@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from seriesflow.functions.parsing import parse_offset_timestamp, parse_timestamp, project, stamp
 from seriesflow.operators.quality import Expectations
-from seriesflow.operators.revisions import latest_wins
+from seriesflow.operators.revisions import latest_dimension, latest_wins
 from seriesflow.schemas import (
     BRONZE_METADATA,
     BRONZE_OBSERVATIONS,
@@ -68,9 +68,7 @@ def gold_join(observations: DataFrame, metadata: DataFrame, source: str) -> Data
 def gold_current(observations: DataFrame, metadata: DataFrame, source: str) -> DataFrame:
     """The join over the latest run of each observation and of each series, so every date appears once."""
     facts = latest_wins(observations.select("series_id", "date", "value", "run_timestamp"))
-    series = latest_wins(
-        metadata.select("series_id", "title", "friendly_name", "units", "run_timestamp"), keys=("series_id",)
-    )
+    series = latest_dimension(metadata.select("series_id", "title", "friendly_name", "units", "run_timestamp"))
     return gold_join(facts, series, source)
 
 

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot partition even where an operator above the join then needs its rows shuffled again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Streaming state lives on local disk with a small memory footprint, backed by the checkpoint folder.
     "spark.sql.streaming.stateStore.providerClass": (
@@ -65,6 +67,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there; its content is not read."""
     try:
         spark.read.text(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True

@@ -47,11 +47,14 @@ def upserter(
         if not _staged(spark, staged, batch_id):
             incoming = batch.withColumn(part, period_of)
             merged = incoming
-            if path_exists(spark, f"{target}/_SUCCESS"):
+            if path_exists(spark, target):
                 # One short text for each calendar period: bounded by the calendar, not by the rows.
                 periods = [r[0] for r in incoming.select(part).distinct().collect()]
                 present = spark.read.schema(incoming.schema).parquet(target)
-                merged = incoming.unionByName(present.filter(F.col(part).isin(periods)))
+                touched = F.col(part).isin([p for p in periods if p is not None])
+                if None in periods:
+                    touched = touched | F.col(part).isNull()
+                merged = incoming.unionByName(present.filter(touched))
             merged = latest_wins(merged, keys, order_by).withColumn("_batch_id", F.lit(batch_id))
             merged.write.mode("overwrite").parquet(staged)
         rows = spark.read.parquet(staged).drop("_batch_id")

@@ -14,6 +14,7 @@ SMALL = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
     "spark.sql.shuffle.partitions": "8",
 }
 

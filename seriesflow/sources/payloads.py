@@ -45,7 +45,7 @@ SERIES_PAYLOAD = StructType([StructField("seriess", ArrayType(_text_struct("id",
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """(series_id, payload) of response files named ``<series_id>.json`` or ``<series_id>-<page>.json``."""
     name = F.col("_metadata.file_name")
-    files = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(
         F.regexp_extract(name, r"^([^.-]+)", 1).alias("series_id"), F.col("value").alias("payload")
     )

@@ -17,7 +17,7 @@ from seriesflow.operators import checks, joins, quality, resample, revisions
 from seriesflow.operators.quality import Expectations
 from seriesflow.plans import layers, update
 from seriesflow.schemas import LANDING_METADATA, LANDING_OBSERVATIONS
-from seriesflow.session import configure, scratch_path
+from seriesflow.session import configure, scratch_path, size_shuffles
 from seriesflow.sinks import snapshots, tables
 from seriesflow.sources import catalog, landing, payloads
 from seriesflow.streaming import flows, metrics, upsert
@@ -580,9 +580,16 @@ _REGISTERED = (
 )
 
 
+_sizes: dict[str, int] = {}
+
+
 def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(configure(spark), sf_dir)
+        configure(spark)
+        if sf_dir not in _sizes:
+            _sizes[sf_dir] = landing.total_bytes(spark, sf_dir)
+        size_shuffles(spark, _sizes[sf_dir])
+        return query(spark, sf_dir)
 
     run.__name__ = query.__name__
     run.__doc__ = query.__doc__

@@ -10,8 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from seriesflow.plans import layers
 from seriesflow.schemas import BRONZE_METADATA, BRONZE_OBSERVATIONS, LANDING_METADATA, LANDING_OBSERVATIONS, TABLES
+from seriesflow.session import size_shuffles
 from seriesflow.sinks.tables import clustered, create_from_spec, refresh, table_properties
-from seriesflow.sources.landing import stream_csv, stream_json, stream_table
+from seriesflow.sources.landing import stream_csv, stream_json, stream_table, total_bytes
 from seriesflow.streaming.flows import drain, start_append
 from seriesflow.streaming.metrics import QualityRecorder, metric_name
 
@@ -35,6 +36,7 @@ class Layout:
     gold: str = "current"
     as_of: str | None = None
     limits: dict[str, str] = field(default_factory=dict)
+    strict_header: bool = True
     range_clustered: bool = False
 
     def table(self, name: str) -> str:
@@ -57,7 +59,13 @@ def _append(df: DataFrame, layout: Layout, name: str, interval: str | None) -> S
 
 def start_bronze(spark: SparkSession, layout: Layout, interval: str | None = None) -> list[StreamingQuery]:
     metadata = stream_json(spark, layout.landing_metadata, LANDING_METADATA, limits=layout.limits)
-    observations = stream_csv(spark, layout.landing_observations, LANDING_OBSERVATIONS, limits=layout.limits)
+    observations = stream_csv(
+        spark,
+        layout.landing_observations,
+        LANDING_OBSERVATIONS,
+        limits=layout.limits,
+        strict_header=layout.strict_header,
+    )
     return [
         _append(layers.bronze_metadata(metadata), layout, "bronze_metadata", interval),
         _append(layers.bronze_observations(observations, layout.as_of), layout, "bronze_observations", interval),
@@ -101,6 +109,7 @@ def refresh_gold(spark: SparkSession, layout: Layout, force: bool = False) -> bo
     if not force and spark.catalog.tableExists(table):
         if table_properties(spark, table).get(_FINGERPRINT) == inputs:
             return False
+    size_shuffles(spark, total_bytes(spark, layout.path("silver_observations"), layout.path("silver_metadata")))
     spec = TABLES["gold_observations"]
     view = layers.GOLD_VIEWS[layout.gold](observations, metadata, layout.source)
     # The sort needs no exchange, and none at all where the join left the rows in that order.
@@ -111,6 +120,7 @@ def refresh_gold(spark: SparkSession, layout: Layout, force: bool = False) -> bo
         layout.path("gold_observations"),
         spec.comment,
         {**spec.properties, _FINGERPRINT: inputs},
+        spec.schema,
     )
     return True
 

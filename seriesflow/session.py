@@ -50,6 +50,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return spark
 
 
+# Aimed-at size of a shuffle partition, and the number beyond which more partitions cost the driver and the
+# shuffle service more than larger ones cost the tasks, which spill.
+_PARTITION_BYTES = 256 * 1024 * 1024
+_MOST_PARTITIONS = 50_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions to suit an input of this size; it is never lowered.
+
+    AQE merges partitions that turn out small, but splits only some that turn out large, so the number has
+    to start high enough.
+    """
+    wanted = min(-(-input_bytes // _PARTITION_BYTES), _MOST_PARTITIONS)
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``, the storage all executors share.
 

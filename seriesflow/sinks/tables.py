@@ -110,12 +110,13 @@ def refresh(
     root: str,
     comment: str = "",
     properties: Mapping[str, str] | None = None,
+    schema: StructType | None = None,
 ) -> str:
     """Full refresh of a materialized view.
 
     The rows go to the folder that is not in use and the table's location moves only once they are complete:
     readers see the old or the new rows, a failed refresh changes nothing, and ``df`` may read the table.
-    Two folders take turns, so no more than one old version is kept.
+    Two folders take turns, so no more than one old version is kept. ``schema`` may add column comments.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
@@ -124,7 +125,7 @@ def refresh(
     path = f"{root.rstrip('/')}/{slot}"
     df.write.mode("overwrite").parquet(path)
     if not exists:
-        create_table(spark, table, df.schema, path, comment, properties)
+        create_table(spark, table, schema or df.schema, path, comment, properties)
     else:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
         if properties:

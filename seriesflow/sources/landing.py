@@ -126,6 +126,15 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def total_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of all files below the paths; one number reaches the driver."""
+    # Scan tasks are cut by file size, but here nothing is read: let every core take one share of the files.
+    lister = spark.newSession()
+    lister.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    sizes = [landed_files(lister, path).select("file_size") for path in paths]
+    return concat(sizes).agg(F.sum("file_size")).first()[0] or 0
+
+
 def between_dates(
     df: DataFrame, start: str | None = None, end: str | None = None, date: str = "date"
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, Str
 from seriesflow.plans import layers
 from seriesflow.plans.landing_run import land
 from seriesflow.schemas import LANDING_METADATA, LANDING_OBSERVATIONS, TABLES
-from seriesflow.session import path_exists, scratch_path
+from seriesflow.session import path_exists, scratch_path, size_shuffles
 from seriesflow.sinks import snapshots, tables
 from seriesflow.sources import landing, payloads
 
@@ -31,6 +31,17 @@ def test_scratch_follows_the_setting(spark):
     assert one.startswith(base) and one != two
 
 
+def test_shuffles_grow_with_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 1) == int(before)
+        assert size_shuffles(spark, 1024**4) == 4096
+        assert size_shuffles(spark, 1) == 4096
+        assert size_shuffles(spark, 100 * 1024**4) == 50_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_path_exists(spark, tmp_path):
     assert path_exists(spark, str(tmp_path))
     assert not path_exists(spark, f"{tmp_path}/none")
@@ -88,6 +99,7 @@ def test_landed_files(spark, tmp_path):
     found = landing.landed_files(spark, str(tmp_path)).orderBy("file_path").collect()
     assert [r.file_path.rsplit("/", 2)[1:] for r in found] == [["run1", "a.csv"], ["run2", "b.csv"]]
     assert [r.file_size for r in found] == [5, 1]
+    assert landing.total_bytes(spark, f"{tmp_path}/run1", f"{tmp_path}/run2") == 6
 
 
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])

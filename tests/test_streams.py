@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from seriesflow.operators import checks
 from seriesflow.operators.quality import Expectations
 from seriesflow.plans import layers, update
 from seriesflow.schemas import BRONZE_OBSERVATIONS, LANDING_METADATA, LANDING_OBSERVATIONS
@@ -284,3 +285,35 @@ def test_continuous_mode(spark, files, layout):
         for query in queries:
             query.stop()
     assert found == 3
+
+
+def test_validation_statements_run_on_the_tables(spark, files, layout, rows):
+    """What a user asks in SQL gives the same answers as the reports."""
+    _first_run(files)
+    files.describe("unused", {"series_id": "SOFR", "friendly_name": "S", "frequency": "Daily"})
+    update.run_update(spark, layout)
+    spark.sql(f"USE {layout.database}")
+    try:
+        obs, meta, gold = (spark.table(t) for t in ("silver_observations", "silver_metadata", "gold_observations"))
+        names = ("bronze_observations", "bronze_metadata", "silver_observations", "silver_metadata", "gold_observations")
+        counts = " UNION ALL ".join(f"SELECT '{n}' AS layer_table, COUNT(*) AS rows FROM {n}" for n in names)
+        assert rows(spark.sql(counts)) == rows(checks.layer_counts({n: spark.table(n) for n in names}))
+        coverage = spark.sql("""
+            SELECT s.series_id, s.friendly_name, s.frequency, COUNT(o.date), MIN(o.date), MAX(o.date)
+            FROM silver_metadata s LEFT JOIN silver_observations o USING (series_id) GROUP BY 1, 2, 3""")
+        assert rows(coverage) == rows(checks.coverage(meta, obs))
+        latest = spark.sql("""
+            SELECT g.series_id, g.friendly_name, g.date, g.value, g.units FROM gold_observations g
+            WHERE g.date = (SELECT MAX(h.date) FROM gold_observations h WHERE h.series_id = g.series_id)""")
+        assert rows(latest) == rows(checks.latest_values(gold))
+        fresh = spark.sql("SELECT series_id, MAX(date), DATEDIFF(CURRENT_DATE, MAX(date)) FROM silver_observations GROUP BY 1")
+        assert rows(fresh) == rows(checks.freshness(obs))
+        orphans = spark.sql("""
+            SELECT 'Orphaned observations (no metadata)', COUNT(*) FROM silver_observations o
+            LEFT JOIN silver_metadata s ON o.series_id = s.series_id WHERE s.series_id IS NULL""")
+        assert rows(orphans) == rows(checks.orphan_count(obs, meta)) == [("Orphaned observations (no metadata)", 1)]
+        nulls = spark.sql("SELECT COUNT(*) FROM silver_observations WHERE series_id IS NULL OR date IS NULL OR value IS NULL")
+        assert nulls.first()[0] == checks.null_violations(obs, ["series_id", "date", "value"]).count() == 0
+        assert {c.name: c.description for c in spark.catalog.listColumns("gold_observations")}["source"] == "data provider"
+    finally:
+        spark.sql("USE default")

@@ -313,7 +313,7 @@ def e2_coverage_copies(spark, d):
 
 
 def e3_freshness(spark, d):
-    return checks.freshness(obs(spark, d), AS_OF).orderBy(F.desc("days_since_update"))
+    return checks.stalest_first(checks.freshness(obs(spark, d), AS_OF))
 
 
 def e4_null_counts(spark, d):
@@ -431,6 +431,13 @@ def _updated(spark, d, purpose: str) -> update.Layout:
     return layout
 
 
+def _taken(spark, layout: update.Layout, name: str) -> DataFrame:
+    """The rows of a table, read from its files; the catalog entries of this run go."""
+    rows = landing.read_table(spark, tables.table_location(spark, layout.table(name)))
+    spark.sql(f"DROP DATABASE {layout.database} CASCADE")
+    return rows
+
+
 def b1_csv_snapshot(spark, d):
     path = snapshots.save_csv(_landing_rows(spark, d), scratch_path(spark, "b1"), "observations", _RUN)
     bronze = layers.bronze_observations(landing.read_csv_runs(spark, [path], LANDING_OBSERVATIONS))
@@ -448,8 +455,9 @@ def b5_view_refresh(spark, d):
     root = scratch_path(spark, "b5")
     table = "view_" + root.rsplit("-", 1)[-1]
     tables.refresh(big(spark, d), table, root)
-    tables.refresh(spark.table(table).withColumn("value", F.col("value") + 1), table, root)
-    return spark.table(table)
+    path = tables.refresh(spark.table(table).withColumn("value", F.col("value") + 1), table, root)
+    spark.sql(f"DROP TABLE {table}")
+    return landing.read_table(spark, path)
 
 
 def b8_clustered_table(spark, d):
@@ -465,16 +473,18 @@ def b9_compacted_table(spark, d):
 
 
 def j4_stream_silver(spark, d):
-    layout = _updated(spark, d, "j4")
-    return spark.table(layout.table("silver_observations")).select("series_id", "series_name", "date", "value")
+    silver = _taken(spark, _updated(spark, d, "j4"), "silver_observations")
+    return silver.select("series_id", "series_name", "date", "value")
 
 
 def j9_stream_gold(spark, d):
-    return spark.table(_updated(spark, d, "j9").table("gold_observations"))
+    return _taken(spark, _updated(spark, d, "j9"), "gold_observations")
 
 
 def j8_stream_metrics(spark, d):
-    return metrics.read_metrics(spark, _updated(spark, d, "j8").metrics)
+    layout = _updated(spark, d, "j8")
+    spark.sql(f"DROP DATABASE {layout.database} CASCADE")
+    return metrics.read_metrics(spark, layout.metrics)
 
 
 def j6_stream_upsert(spark, d):

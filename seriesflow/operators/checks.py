@@ -69,6 +69,11 @@ def freshness(
     return latest.withColumn("days_since_update", F.datediff(today(as_of), F.col("latest_date")))
 
 
+def stalest_first(fresh: DataFrame, key: str = "series_id") -> DataFrame:
+    """Longest without an update first; the key ends the order, so that equal ages spread over partitions."""
+    return fresh.orderBy(F.desc("days_since_update"), key)
+
+
 def null_counts(df: DataFrame, columns: Mapping[str, Column | str]) -> DataFrame:
     """One column of null counts for each entry (output name -> column), from one pass."""
     return df.agg(

@@ -65,11 +65,19 @@ def gold_join(observations: DataFrame, metadata: DataFrame, source: str) -> Data
     )
 
 
+def _latest_series(metadata: DataFrame) -> DataFrame:
+    return latest_dimension(metadata.select("series_id", "title", "friendly_name", "units", "run_timestamp"))
+
+
 def gold_current(observations: DataFrame, metadata: DataFrame, source: str) -> DataFrame:
     """The join over the latest run of each observation and of each series, so every date appears once."""
     facts = latest_wins(observations.select("series_id", "date", "value", "run_timestamp"))
-    series = latest_dimension(metadata.select("series_id", "title", "friendly_name", "units", "run_timestamp"))
-    return gold_join(facts, series, source)
+    return gold_join(facts, _latest_series(metadata), source)
+
+
+def gold_upserted(current: DataFrame, metadata: DataFrame, source: str) -> DataFrame:
+    """The same rows from observations that the upsert flow keeps at their latest run."""
+    return gold_join(current, _latest_series(metadata), source)
 
 
-GOLD_VIEWS = {"current": gold_current, "join": gold_join}
+GOLD_VIEWS = {"current": gold_current, "join": gold_join, "upserted": gold_upserted}

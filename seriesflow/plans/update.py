@@ -9,12 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from seriesflow.plans import layers
-from seriesflow.schemas import BRONZE_METADATA, BRONZE_OBSERVATIONS, LANDING_METADATA, LANDING_OBSERVATIONS, TABLES
-from seriesflow.session import size_shuffles
+from seriesflow.schemas import (
+    BRONZE_METADATA,
+    BRONZE_OBSERVATIONS,
+    LANDING_METADATA,
+    LANDING_OBSERVATIONS,
+    SILVER_OBSERVATIONS,
+    TABLES,
+)
+from seriesflow.session import path_exists, size_shuffles
 from seriesflow.sinks.tables import clustered, create_from_spec, refresh, table_properties
 from seriesflow.sources.landing import stream_csv, stream_json, stream_table, total_bytes
 from seriesflow.streaming.flows import drain, start_append
 from seriesflow.streaming.metrics import QualityRecorder, metric_name
+from seriesflow.streaming.upsert import start_upsert
 
 _FINGERPRINT = "seriesflow.inputs"
 
@@ -23,6 +31,9 @@ _FINGERPRINT = "seriesflow.inputs"
 class Layout:
     """Where the tables live and how the flows behave. All paths are on storage every executor reaches.
 
+    ``gold`` picks the view: ``current`` takes the latest run out of all that silver holds; ``upserted`` has the
+    same rows, but merges each run into a table of current observations, so that a refresh reads every
+    observation once, not once for each run that delivered it; ``join`` keeps all copies.
     ``range_clustered`` pays one more exchange at each refresh of the gold view for files that each hold a
     narrow range of series and dates.
     """
@@ -85,6 +96,27 @@ def start_silver(spark: SparkSession, layout: Layout, interval: str | None = Non
     ]
 
 
+def start_current(spark: SparkSession, layout: Layout, interval: str | None = None) -> StreamingQuery:
+    """Merge new silver observations into the table of current ones."""
+    silver = stream_table(spark, layout.path("silver_observations"), SILVER_OBSERVATIONS, layout.limits)
+    return start_upsert(
+        silver,
+        layout.path("current_observations"),
+        layout.checkpoint("current_observations"),
+        interval,
+        order_by=("run_timestamp", "value"),
+    )
+
+
+def _observations(spark: SparkSession, layout: Layout) -> DataFrame:
+    if layout.gold != "upserted":
+        return spark.table(layout.table("silver_observations"))
+    current = layout.path("current_observations")
+    if not path_exists(spark, current):
+        return spark.createDataFrame([], SILVER_OBSERVATIONS)
+    return spark.read.schema(SILVER_OBSERVATIONS).parquet(current)
+
+
 def register(spark: SparkSession, layout: Layout) -> None:
     """Describe the four streamed tables in the catalog, with comments and properties."""
     for name in ("bronze_metadata", "bronze_observations", "silver_metadata", "silver_observations"):
@@ -103,7 +135,7 @@ def _fingerprint(*tables: DataFrame) -> str:
 
 def refresh_gold(spark: SparkSession, layout: Layout, force: bool = False) -> bool:
     """Recompute the gold view unless its inputs are unchanged; says whether it was."""
-    observations, metadata = (spark.table(layout.table(n)) for n in ("silver_observations", "silver_metadata"))
+    observations, metadata = _observations(spark, layout), spark.table(layout.table("silver_metadata"))
     inputs = f"{layout.gold};{layout.source};{_fingerprint(observations, metadata)}"
     table = layout.table("gold_observations")
     if not force and spark.catalog.tableExists(table):
@@ -141,9 +173,15 @@ def run_update(spark: SparkSession, layout: Layout) -> bool:
     finally:
         spark.streams.removeListener(recorder)
     register(spark, layout)
+    if layout.gold == "upserted":
+        drain(start_current(spark, layout))
     return refresh_gold(spark, layout)
 
 
 def start_continuous(spark: SparkSession, layout: Layout, interval: str = "1 minute") -> list[StreamingQuery]:
-    """Keep all four flows running in micro-batches. Call :func:`refresh_gold` as often as the view is needed."""
-    return [*start_bronze(spark, layout, interval), *start_silver(spark, layout, interval)]
+    """Keep all flows running in micro-batches.
+
+    Call :func:`register` once, and :func:`refresh_gold` as often as the view is needed.
+    """
+    queries = [*start_bronze(spark, layout, interval), *start_silver(spark, layout, interval)]
+    return [*queries, start_current(spark, layout, interval)] if layout.gold == "upserted" else queries

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from seriesflow.functions.parsing import clean_text, or_empty, parse_date, parse_double
+from seriesflow.operators.resample import resample
 from seriesflow.operators.revisions import latest_only
 from seriesflow.schemas import LANDING_METADATA, LANDING_OBSERVATIONS
 from seriesflow.sources.catalog import RATE_SERIES, catalog
@@ -94,14 +95,18 @@ def fetch_observations(
     series: Mapping[str, str] = RATE_SERIES,
     observation_start: str | None = None,
     observation_end: str | None = None,
-    latest_only_: bool = False,
+    frequency: str | None = None,
+    method: str = "avg",
+    last_row_only: bool = False,
 ) -> DataFrame:
     """Landing rows of all catalogued series, stamped with one run timestamp.
 
-    Empty and failed responses leave no rows; without any response the result is empty but typed.
+    ``frequency`` (d, w, m, q, a) resamples them, dated by the start of the period. Empty and failed responses leave no rows; without any response the result is empty but typed.
     """
     rows = between_dates(observations_of(payloads), observation_start, observation_end)
-    if latest_only_:
+    if frequency is not None:
+        rows = resample(rows, frequency, method).withColumnRenamed("period", "date")
+    if last_row_only:
         rows = latest_only(rows, order_by=("date",))
     stamped = _catalogued(rows, series).withColumns(
         {"run_timestamp": _literal(run_timestamp), "series_name": F.col("friendly_name")}

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
+from seriesflow import __main__ as jobs
 from seriesflow.plans import layers
 from seriesflow.plans.landing_run import land
 from seriesflow.schemas import LANDING_METADATA, LANDING_OBSERVATIONS, TABLES
@@ -159,8 +160,14 @@ def test_observations_of_responses(spark, responses, rows):
     ]
     ranged = payloads.fetch_observations(read, "r", observation_start="2024-01-02", observation_end="2024-01-02")
     assert rows(ranged, "series_id") == [("DFF",), ("DGS10",)]
-    last = payloads.fetch_observations(read, "r", latest_only_=True)
+    last = payloads.fetch_observations(read, "r", last_row_only=True)
     assert rows(last, "series_id", "value") == [("DFF", 5.3), ("DGS10", 4.1)]
+    monthly = payloads.fetch_observations(read, "r", frequency="m", method="max")
+    assert monthly.columns == LANDING_OBSERVATIONS.names
+    assert rows(monthly, "series_id", "date", "value") == [
+        ("DFF", dt.date(2024, 1, 1), 5.33),
+        ("DGS10", dt.date(2024, 1, 1), 4.1),
+    ]
 
 
 def test_failed_responses_are_counted(spark, responses, rows):
@@ -284,3 +291,17 @@ def test_compact(spark, tmp_path, table, rows):
     assert len(spark.table(name).inputFiles()) == 8
     tables.compact(spark, name, f"{tmp_path}/compacted")
     assert len(spark.table(name).inputFiles()) == 1 and spark.table(name).count() == 1000
+
+
+def test_jobs(spark, tmp_path, responses, table, capsys):
+    base = str(tmp_path)
+    folders = ["--observations", f"{base}/landing/o", "--metadata", f"{base}/landing/m"]
+    jobs.main(["land", "--observation-payloads", responses[0], "--series-payloads", responses[1], *folders])
+    globs = ["--observations", f"{base}/landing/o/*", "--metadata", f"{base}/landing/m/*"]
+    for _ in range(2):
+        jobs.main(["update", "--root", f"{base}/root", "--database", "jobs_db", *globs, "--source", "SRC", "--gold", "upserted"])
+    jobs.main(["report", "--database", "jobs_db"])
+    printed = capsys.readouterr().out
+    assert "gold refreshed" in printed and "gold unchanged" in printed and "Orphaned observations" in printed
+    assert spark.table("jobs_db.gold_observations").count() == 4
+    spark.sql("DROP DATABASE jobs_db CASCADE")

@@ -231,6 +231,22 @@ def test_update_with_all_copies(spark, files, layout):
     assert spark.table(layout.table("gold_observations")).count() == 2
 
 
+def test_upserted_view_is_the_current_view(spark, files, layout, rows):
+    from dataclasses import replace
+
+    layout = replace(layout, gold="upserted")
+    files.land("run2", "2024-12-10 12:00:00,DFF,Fed,2024-12-01,4.55", "2024-12-10 12:00:00,DGS10,Ten,2024-12-01,3.90")
+    files.describe("run2", {"series_id": "DFF", "title": "New"}, run="2024-12-10 12:00:00")
+    assert update.run_update(spark, layout)
+    _first_run(files)
+    assert update.run_update(spark, layout)
+    assert not update.run_update(spark, layout)
+    gold = spark.table(layout.table("gold_observations"))
+    assert rows(gold, "series_id", "value", "title") == [("DFF", 4.55, "New"), ("DGS10", 3.9, "T")]
+    silver = [spark.table(layout.table(t)) for t in ("silver_observations", "silver_metadata")]
+    assert rows(gold) == rows(layers.gold_current(*silver, "SRC"))
+
+
 def test_batch_and_stream_agree(spark, files, layout, rows):
     _first_run(files)
     update.run_update(spark, layout)

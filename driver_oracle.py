@@ -211,6 +211,26 @@ _STATEMENTS = {
                   WHERE series_id NOT IN (SELECT series_id FROM meta)
         UNION ALL SELECT 'Duplicate series_id in metadata', count(*)
                   FROM (SELECT series_id FROM meta GROUP BY 1 HAVING count(*) > 1) AS duplicates"""),
+    "a3_inferred_schema": ("obs typed", """
+        SELECT CAST(series_id AS INTEGER) AS series_id, series_name, date, value FROM typed"""),
+    "a4_schema_evolution": ("obs typed", """
+        SELECT series_id, CASE WHEN run_timestamp >= TIMESTAMP '2024-01-15' THEN series_name END AS series_name, date, value
+        FROM typed"""),
+    "a5_load_by_pattern": ("obs typed", """
+        SELECT series_id, series_name, date, value FROM typed WHERE run_timestamp < TIMESTAMP '2024-01-15'"""),
+    "a13_payload_status": ("", """
+        SELECT 'refund' AS series_id, 'missing' AS status, CAST(0 AS BIGINT) AS responses
+        UNION ALL
+        SELECT event_type, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'empty' ELSE 'ok' END, count(*)
+        FROM events GROUP BY 1, 2"""),
+    "a13_fetch": ("obs typed cat", """
+        SELECT '2024-02-01 08:00:00' AS run_timestamp, t.series_name AS series_id, c.friendly_name AS series_name,
+               t.date, t.value
+        FROM typed t JOIN cat c ON t.series_name = c.series_id
+        WHERE t.series_name <> 'signup' AND t.date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'"""),
+    "b3_append_merged": ("obs", """
+        SELECT series_id, date, value, CAST(NULL AS VARCHAR) AS series_name FROM obs
+        UNION ALL SELECT series_id, date, NULL, series_name FROM obs"""),
     "b1_csv_snapshot": ("obs typed", """
         SELECT series_id, series_name, date, value, strftime(run_timestamp, '%Y-%m-%d %H:%M:%S') AS run FROM typed"""),
     "b2_json_snapshot": ("meta", """

@@ -438,6 +438,88 @@ def _taken(spark, layout: update.Layout, name: str) -> DataFrame:
     return rows
 
 
+def a3_inferred_schema(spark, d):
+    """Landed text read back with the types found in it, after they were frozen as JSON."""
+    root = scratch_path(spark, "a3")
+    path = snapshots.save_csv(_landing_rows(spark, d), root, "observations", _RUN)
+    landing.save_schema(spark, landing.infer_csv_schema(spark, path), f"{root}/schema")
+    frozen = landing.load_schema(spark, f"{root}/schema")
+    return spark.read.schema(frozen).option("header", True).csv(path).select("series_id", "series_name", "date", "value")
+
+
+_HALF = "2024-01-15"
+
+
+def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    newer = F.col("run_timestamp") >= F.lit(_HALF)
+    return rows.filter(~newer), rows.filter(newer)
+
+
+def a4_schema_evolution(spark, d):
+    """An early run without names, a later one with one column more, in another order."""
+    root = scratch_path(spark, "a4")
+    early, late = _halves(_landing_rows(spark, d))
+    reordered = late.select("value", F.lit("x").alias("extra"), "date", "series_name", "series_id", "run_timestamp")
+    paths = [
+        snapshots.save_csv(early.drop("series_name"), root, "early", _RUN),
+        snapshots.save_csv(reordered, root, "late", _RUN),
+    ]
+    bronze = layers.bronze_observations(landing.read_csv_runs(spark, paths, LANDING_OBSERVATIONS))
+    return bronze.select("series_id", "series_name", "date", "value")
+
+
+def a5_load_by_pattern(spark, d):
+    """Only the runs that fit the pattern are loaded, and a second load adds nothing."""
+    root = scratch_path(spark, "a5")
+    early, late = _halves(_landing_rows(spark, d))
+    snapshots.save_csv(early, f"{root}/landing", "observations_historical", _RUN)
+    snapshots.save_csv(late, f"{root}/landing", "observations_other", _RUN)
+    for _ in range(2):
+        stream = landing.stream_csv(spark, f"{root}/landing/observations_historical_*", LANDING_OBSERVATIONS)
+        flows.drain(flows.start_append(layers.bronze_observations(stream), f"{root}/bronze", f"{root}/checkpoint"))
+    return landing.read_table(spark, f"{root}/bronze").select("series_id", "series_name", "date", "value")
+
+
+def a11_landed_files(spark, d):
+    return landing.landed_files(spark, d)
+
+
+def _responses(spark, d) -> DataFrame:
+    """One response for each event: failed for errors, empty for sign-ups, else with one observation."""
+    one = F.array(F.struct(F.col("date").cast("string").alias("date"), F.col("raw_value").alias("value")))
+    payload = (
+        F.when(F.col("series_name") == "error", F.lit('{"error_code": 400}'))
+        .when(F.col("series_name") == "signup", F.lit('{"observations": []}'))
+        .otherwise(F.to_json(F.struct(one.alias("observations"))))
+    )
+    return obs(spark, d).select(F.col("series_name").alias("series_id"), payload.alias("payload"))
+
+
+_RESPONSE_CATALOG = {**EVENT_CATALOG, "error": "Errors"}
+
+
+def a13_payload_status(spark, d):
+    return payloads.payload_status(_responses(spark, d), _RESPONSE_CATALOG)
+
+
+def a13_fetch(spark, d):
+    fetched = payloads.fetch_observations(
+        _responses(spark, d), "2024-02-01 08:00:00", _RESPONSE_CATALOG, "2024-01-05", "2024-01-25"
+    )
+    return fetched.select(*LANDING_OBSERVATIONS.names)
+
+
+def b3_append_merged(spark, d):
+    """The second append brings a new column and lacks an old one."""
+    root = scratch_path(spark, "b3")
+    table = "appended_" + root.rsplit("-", 1)[-1]
+    tables.append(obs(spark, d).select("series_id", "date", "value"), table, root)
+    tables.append(obs(spark, d).select("series_name", "date", "series_id"), table)
+    columns = spark.table(table).schema
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(columns).parquet(root)
+
+
 def b1_csv_snapshot(spark, d):
     path = snapshots.save_csv(_landing_rows(spark, d), scratch_path(spark, "b1"), "observations", _RUN)
     bronze = layers.bronze_observations(landing.read_csv_runs(spark, [path], LANDING_OBSERVATIONS))
@@ -577,8 +659,15 @@ _REGISTERED = (
     k5_primary_key,
     k8_quarantine,
     k9_report,
+    a3_inferred_schema,
+    a4_schema_evolution,
+    a5_load_by_pattern,
+    a11_landed_files,
+    a13_payload_status,
+    a13_fetch,
     b1_csv_snapshot,
     b2_json_snapshot,
+    b3_append_merged,
     b5_view_refresh,
     b8_clustered_table,
     b9_compacted_table,

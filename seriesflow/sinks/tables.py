@@ -60,11 +60,15 @@ def table_location(spark: SparkSession, table: str) -> str:
     return described.filter("col_name = 'Location'").first()["data_type"]
 
 
-def append(df: DataFrame, table: str) -> None:
-    """Append by column name. New columns are added to the table; columns the rows lack are NULL."""
+def append(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Append by column name. New columns are added to the table; columns the rows lack are NULL.
+
+    The first append creates the table, over ``path`` if given.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        df.write.format("parquet").saveAsTable(table)
+        writer = df.write.format("parquet")
+        (writer.option("path", path) if path else writer).saveAsTable(table)
         return
     existing = spark.table(table).schema
     added = StructType([f for f in df.schema.fields if f.name not in existing.names])

@@ -5,6 +5,7 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from seriesflow.operators import checks, joins, quality, resample, revisions
@@ -129,6 +130,13 @@ def test_metrics_and_quarantine(spark, rows):
     assert held.count() + Expectations(RULES).enforce(df).count() == df.count()
 
 
+def test_failures_are_counted_while_rows_pass(spark):
+    seen = Observation("rules")
+    kept = Expectations(RULES).enforce(Expectations(RULES).observe(spark.createDataFrame(DATA, RULED), seen))
+    assert kept.count() == 1
+    assert seen.get == {"rows": 5, "failed_id_not_null": 2, "failed_in_range": 3}
+
+
 def test_rules_reach_the_scan(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     spark.createDataFrame(DATA, RULED).write.parquet(path)

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Also the size of the files that writes after a shuffle leave behind.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot partition even where an operator above the join then needs its rows shuffled again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

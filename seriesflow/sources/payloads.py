@@ -74,7 +74,7 @@ def payload_status(
     """
     found = F.from_json(payload, OBSERVATIONS_PAYLOAD)["observations"]
     status = F.when(found.isNull(), "failed").when(F.size(found) == 0, "empty").otherwise("ok")
-    counted = payloads.select("series_id", status.alias("status")).groupBy("series_id", "status")
+    counted = _wanted(payloads, series).select("series_id", status.alias("status")).groupBy("series_id", "status")
     counted = counted.agg(F.count(F.lit(1)).alias("responses"))
     wanted = catalog(payloads.sparkSession, series).select("series_id")
     return wanted.join(counted, "series_id", "left").select(
@@ -84,6 +84,11 @@ def payload_status(
     )
 
 
+def _wanted(payloads: DataFrame, series: Mapping[str, str]) -> DataFrame:
+    """Responses of catalogued series, so that no other is parsed."""
+    return payloads.filter(F.col("series_id").isin(list(series)))
+
+
 def _catalogued(df: DataFrame, series: Mapping[str, str]) -> DataFrame:
     # The catalog is a literal of the program, so its size is bounded and it may be broadcast.
     return df.join(F.broadcast(catalog(df.sparkSession, series)), "series_id")
@@ -101,9 +106,10 @@ def fetch_observations(
 ) -> DataFrame:
     """Landing rows of all catalogued series, stamped with one run timestamp.
 
-    ``frequency`` (d, w, m, q, a) resamples them, dated by the start of the period. Empty and failed responses leave no rows; without any response the result is empty but typed.
+    ``frequency`` (d, w, m, q, a) resamples them, dated by the start of the period. Empty and failed responses
+    leave no rows; without any response the result is empty but typed.
     """
-    rows = between_dates(observations_of(payloads), observation_start, observation_end)
+    rows = between_dates(observations_of(_wanted(payloads, series)), observation_start, observation_end)
     if frequency is not None:
         rows = resample(rows, frequency, method).withColumnRenamed("period", "date")
     if last_row_only:
@@ -118,7 +124,7 @@ def fetch_metadata(
     payloads: DataFrame, run_timestamp: str | Column, series: Mapping[str, str] = RATE_SERIES
 ) -> DataFrame:
     """Landing metadata of all catalogued series: text only, absent attributes empty, notes cleaned."""
-    rows = _catalogued(series_of(payloads), series)
+    rows = _catalogued(series_of(_wanted(payloads, series)), series)
     columns = {
         "run_timestamp": _literal(run_timestamp),
         "series_id": F.coalesce("id", "series_id"),

@@ -423,8 +423,8 @@ def _updated(spark, d, purpose: str) -> update.Layout:
     layout = update.Layout(
         root=root,
         database="db_" + root.rsplit("-", 1)[-1],
-        landing_observations=f"{root}/landing/observations/*",
-        landing_metadata=f"{root}/landing/metadata/*",
+        landing_observations=f"{root}/landing/observations",
+        landing_metadata=f"{root}/landing/metadata",
         source=SOURCE,
     )
     update.run_update(spark, layout)
@@ -584,7 +584,7 @@ def j6_stream_upsert(spark, d):
             "observations",
             _RUN + dt.timedelta(days=number),
         )
-        stream = landing.stream_csv(spark, f"{landed}/*", LANDING_OBSERVATIONS)
+        stream = landing.stream_csv(spark, landed, LANDING_OBSERVATIONS)
         bronze = layers.bronze_observations(stream).drop("ingestion_timestamp")
         flows.drain(upsert.start_upsert(bronze, target, f"{root}/checkpoint", period="month"))
     return spark.read.parquet(target).select("series_id", "date", "value", "series_name")
@@ -595,7 +595,7 @@ def j5_stream_drop_redelivered(spark, d):
     root = scratch_path(spark, "j5")
     for number in range(2):
         snapshots.save_csv(_landing_rows(spark, d), f"{root}/landing", "observations", _RUN + dt.timedelta(days=number))
-    stream = landing.stream_csv(spark, f"{root}/landing/*", LANDING_OBSERVATIONS)
+    stream = landing.stream_csv(spark, f"{root}/landing", LANDING_OBSERVATIONS)
     once = flows.drop_redelivered(layers.bronze_observations(stream), "90 days")
     flows.drain(flows.start_append(once, f"{root}/bronze", f"{root}/checkpoint"))
     return spark.read.parquet(f"{root}/bronze").select(

@@ -1,7 +1,7 @@
 """Jobs for spark-submit: ``land`` a run, ``update`` the tables, ``report`` on them.
 
     spark-submit --py-files seriesflow.zip seriesflow/__main__.py update --root hdfs:///rates --database rates \\
-        --observations 'hdfs:///landing/observations/*' --metadata 'hdfs:///landing/metadata/*' --source NAME
+        --observations hdfs:///landing/observations --metadata hdfs:///landing/metadata --source NAME
 """
 
 from __future__ import annotations

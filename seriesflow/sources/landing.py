@@ -22,6 +22,10 @@ _KEEP_ALL_FILES = {"maxFileAge": "36500d"}
 _CSV = {"header": "true", "escape": '"'}
 
 
+# Runs land in folders of their own; folders whose name starts with an underscore are never data.
+_RUN_FOLDERS = {"recursiveFileLookup": "true"}
+
+
 def _stream(spark: SparkSession, schema: StructType, limits: dict[str, str] | None):
     reader = spark.readStream.schema(schema).options(**_KEEP_ALL_FILES)
     return reader.options(**(limits or {}))
@@ -35,13 +39,13 @@ def stream_csv(
     limits: dict[str, str] | None = None,
     strict_header: bool = True,
 ) -> DataFrame:
-    """Incremental CSV source with a header line; ``path`` may be a glob over run folders.
+    """Incremental CSV source with a header line, files and run folders below ``path`` (which may be a glob).
 
     CSV columns go by position. ``strict_header`` stops the stream when a header differs from ``schema``,
     rather than shifting values into wrong columns; without it, columns added or missing at the end of a
     file are ignored or NULL. ``limits`` takes ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
     """
-    reader = _stream(spark, schema, limits).options(**_CSV).option("enforceSchema", not strict_header)
+    reader = _stream(spark, schema, limits).options(**_CSV, **_RUN_FOLDERS).option("enforceSchema", not strict_header)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.csv(path)
@@ -55,13 +59,13 @@ def stream_json(
     limits: dict[str, str] | None = None,
     corrupt_column: str | None = None,
 ) -> DataFrame:
-    """Incremental JSON-lines source; columns go by name, a broken line is a row of NULLs.
+    """Incremental JSON-lines source, files and run folders below ``path``; columns go by name, a broken line is a row of NULLs.
 
     With ``corrupt_column`` its text is kept in a column of that name.
     """
     if corrupt_column:
         schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
-    reader = _stream(spark, schema, limits).option("mode", "PERMISSIVE")
+    reader = _stream(spark, schema, limits).options(**_RUN_FOLDERS).option("mode", "PERMISSIVE")
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if pattern:

@@ -297,9 +297,8 @@ def test_jobs(spark, tmp_path, responses, table, capsys):
     base = str(tmp_path)
     folders = ["--observations", f"{base}/landing/o", "--metadata", f"{base}/landing/m"]
     jobs.main(["land", "--observation-payloads", responses[0], "--series-payloads", responses[1], *folders])
-    globs = ["--observations", f"{base}/landing/o/*", "--metadata", f"{base}/landing/m/*"]
     for _ in range(2):
-        jobs.main(["update", "--root", f"{base}/root", "--database", "jobs_db", *globs, "--source", "SRC", "--gold", "upserted"])
+        jobs.main(["update", "--root", f"{base}/root", "--database", "jobs_db", *folders, "--source", "SRC", "--gold", "upserted"])
     jobs.main(["report", "--database", "jobs_db"])
     printed = capsys.readouterr().out
     assert "gold refreshed" in printed and "gold unchanged" in printed and "Orphaned observations" in printed

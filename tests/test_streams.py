@@ -66,6 +66,14 @@ def test_files_are_loaded_once(spark, files, tmp_path, rows):
     assert rows(_bronze(spark, files, tmp_path), "value") == [(4.5,), (4.55,), (None,)]
 
 
+def test_run_folders(spark, files, tmp_path):
+    files.land("plain", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5")
+    for folder in ("run1", "run2/deep", "_schema", "run3/_temporary"):
+        (files.observations / folder).mkdir(parents=True)
+        files.land(f"{folder}/part", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5")
+    assert _bronze(spark, files, tmp_path).count() == 3
+
+
 def test_load_by_pattern(spark, files, tmp_path):
     files.land("observations_historical_1", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5")
     files.land("other", "2024-12-10 08:00:00,DFF,Fed,2024-12-02,4.5")

@@ -18,7 +18,7 @@ from seriesflow.schemas import (
     TABLES,
 )
 from seriesflow.session import path_exists, size_shuffles
-from seriesflow.sinks.tables import clustered, create_from_spec, refresh, table_properties
+from seriesflow.sinks.tables import clustered, create_from_spec, quoted, refresh, table_properties
 from seriesflow.sources.landing import stream_csv, stream_json, stream_table, total_bytes
 from seriesflow.streaming.flows import drain, start_append
 from seriesflow.streaming.metrics import QualityRecorder, metric_name
@@ -119,18 +119,17 @@ def _observations(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def register(spark: SparkSession, layout: Layout) -> None:
     """Describe the four streamed tables in the catalog, with comments and properties."""
+    home = quoted(f"{layout.root.rstrip('/')}/database")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.database} LOCATION {home}")
     for name in ("bronze_metadata", "bronze_observations", "silver_metadata", "silver_observations"):
         create_from_spec(spark, layout.table(name), TABLES[name], layout.path(name))
         spark.catalog.refreshTable(layout.table(name))
 
 
 def _fingerprint(*tables: DataFrame) -> str:
-    """Row count and last update of append-only inputs: one narrow pass instead of a rewrite of the view."""
-    parts = []
-    for df in tables:
-        row = df.agg(F.count(F.lit(1)), F.max("updated_at").cast("string")).first()
-        parts.append(f"{row[0]}@{row[1]}")
-    return ";".join(parts)
+    """Row count, last update and last run of the inputs: one narrow pass instead of a rewrite of the view."""
+    state = [F.count(F.lit(1)).cast("string"), *(F.max(c).cast("string") for c in ("updated_at", "run_timestamp"))]
+    return ";".join(df.agg(F.concat_ws("@", *state)).first()[0] for df in tables)
 
 
 def refresh_gold(spark: SparkSession, layout: Layout, force: bool = False) -> bool:
@@ -159,7 +158,6 @@ def refresh_gold(spark: SparkSession, layout: Layout, force: bool = False) -> bo
 
 def run_update(spark: SparkSession, layout: Layout) -> bool:
     """Drain everything that has landed through all layers; says whether the gold view was refreshed."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.database} LOCATION '{layout.root.rstrip('/')}/database'")
     recorder = QualityRecorder()
     spark.streams.addListener(recorder)
     try:

@@ -12,7 +12,8 @@ from seriesflow.schemas import TableSpec
 from seriesflow.session import path_exists
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
+    """A SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -20,12 +21,12 @@ def _columns(schema: StructType) -> str:
     parts = []
     for f in schema.fields:
         comment = (f.metadata or {}).get("comment")
-        parts.append(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {_quoted(comment)}" if comment else ""))
+        parts.append(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {quoted(comment)}" if comment else ""))
     return ", ".join(parts)
 
 
 def _properties(properties: Mapping[str, str]) -> str:
-    return ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+    return ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
 
 
 def create_table(
@@ -39,9 +40,9 @@ def create_table(
 ) -> None:
     """An external parquet table with comments and properties."""
     statement = f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{table} ({_columns(schema)}) USING parquet"
-    statement += f" LOCATION {_quoted(path)}"
+    statement += f" LOCATION {quoted(path)}"
     if comment:
-        statement += f" COMMENT {_quoted(comment)}"
+        statement += f" COMMENT {quoted(comment)}"
     if properties:
         statement += f" TBLPROPERTIES ({_properties(properties)})"
     spark.sql(statement)
@@ -131,7 +132,7 @@ def refresh(
     if not exists:
         create_table(spark, table, schema or df.schema, path, comment, properties)
     else:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(path)}")
         if properties:
             spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_properties(properties)})")
     spark.catalog.refreshTable(table)

@@ -41,6 +41,8 @@ def drop_redelivered(
 ) -> DataFrame:
     """Drop rows of a stream that were delivered before, within ``delay`` of the newest run.
 
-    State is keyed by row identity, so it spreads over all partitions, and is bounded by the watermark.
+    State is keyed by row identity, so it spreads over all partitions, and is bounded by the watermark. Rows of
+    a run that arrives later than ``delay`` are late for the watermark and dropped, so it has to exceed any
+    lateness; the upsert flow has no such bound.
     """
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))

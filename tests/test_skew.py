@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from seriesflow.operators import joins, revisions
 from seriesflow.plans import layers
+from seriesflow.sinks import tables
+from seriesflow.streaming.upsert import upserter
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -82,3 +84,22 @@ def test_revisions_shrink_before_the_shuffle(skewed):
         plan = _final_plan(reduced)
         below = plan[plan.index("Exchange") :]
         assert "partial_max" in below or "WindowGroupLimit" in below
+
+
+def _rows_per_file(spark, path):
+    return [r["count"] for r in spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()]
+
+
+def test_sized_writes_split_the_hot_series(spark, skewed, tmp_path):
+    facts, _ = skewed
+    tables.sized(facts, "series_id").write.parquet(f"{tmp_path}/t")
+    found = _rows_per_file(spark, f"{tmp_path}/t")
+    assert sum(found) == 50_000 and max(found) < 15_000
+
+
+def test_upsert_splits_a_hot_period(spark, skewed, tmp_path):
+    facts, _ = skewed
+    busy = facts.withColumn("series_id", F.col("value").cast("string")).withColumn("date", F.lit("2024-01-01").cast("date"))
+    upserter(f"{tmp_path}/target", f"{tmp_path}/staged")(busy, 0)
+    found = _rows_per_file(spark, f"{tmp_path}/target")
+    assert sum(found) == 50_000 and max(found) < 15_000

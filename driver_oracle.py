@@ -234,7 +234,7 @@ _STATEMENTS = {
     "b1_csv_snapshot": ("obs typed", """
         SELECT series_id, series_name, date, value, strftime(run_timestamp, '%Y-%m-%d %H:%M:%S') AS run FROM typed"""),
     "b2_json_snapshot": ("meta", """
-        SELECT series_id, friendly_name, friendly_name AS title, units, CAST(NULL AS INTEGER) AS popularity, '' AS notes
+        SELECT series_id, friendly_name, friendly_name AS title, units, CAST(series_id AS INTEGER) AS popularity, '' AS notes
         FROM meta"""),
     "b5_view_refresh": ("big", "SELECT series_id, date, value + 1 AS value FROM big"),
     "b8_clustered_table": ("big", _TABLE_BIG),

@@ -410,7 +410,13 @@ def _landing_rows(spark, d) -> DataFrame:
 
 
 def _land_metadata(spark, d, directory: str) -> str:
-    rows = meta(spark, d).select("*", F.lit("2024-02-01 08:00:00").alias("run_timestamp"), F.col("friendly_name").alias("title"))
+    rows = meta(spark, d).withColumns(
+        {
+            "run_timestamp": F.lit("2024-02-01 08:00:00"),
+            "title": F.col("friendly_name"),
+            "popularity": F.col("series_id"),
+        }
+    )
     text = [(F.col(n) if n in rows.columns else F.lit("")).alias(n) for n in LANDING_METADATA.names]
     return snapshots.save_json_lines(rows.select(*text), directory, "series_metadata", _RUN)
 

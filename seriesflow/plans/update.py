@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,7 @@ from seriesflow.schemas import (
     BRONZE_OBSERVATIONS,
     LANDING_METADATA,
     LANDING_OBSERVATIONS,
+    SILVER_METADATA,
     SILVER_OBSERVATIONS,
     TABLES,
 )
@@ -49,6 +52,7 @@ class Layout:
     limits: dict[str, str] = field(default_factory=dict)
     strict_header: bool = True
     range_clustered: bool = False
+    gold_versions: int = 2
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -96,7 +100,12 @@ def start_silver(spark: SparkSession, layout: Layout, interval: str | None = Non
     ]
 
 
-def start_current(spark: SparkSession, layout: Layout, interval: str | None = None) -> StreamingQuery:
+def start_current(
+    spark: SparkSession,
+    layout: Layout,
+    interval: str | None = None,
+    then: Callable[[], object] | None = None,
+) -> StreamingQuery:
     """Merge new silver observations into the table of current ones."""
     silver = stream_table(spark, layout.path("silver_observations"), SILVER_OBSERVATIONS, layout.limits)
     return start_upsert(
@@ -104,6 +113,7 @@ def start_current(spark: SparkSession, layout: Layout, interval: str | None = No
         layout.path("current_observations"),
         layout.checkpoint("current_observations"),
         interval,
+        then,
         order_by=("run_timestamp", "value"),
     )
 
@@ -132,8 +142,19 @@ def _fingerprint(*tables: DataFrame) -> str:
     return ";".join(df.agg(F.concat_ws("@", *state)).first()[0] for df in tables)
 
 
+# Two flows may ask for a refresh at the same time.
+_REFRESHING = threading.Lock()
+
+
 def refresh_gold(spark: SparkSession, layout: Layout, force: bool = False) -> bool:
     """Recompute the gold view unless its inputs are unchanged; says whether it was."""
+    with _REFRESHING:
+        for name in ("silver_observations", "silver_metadata"):
+            spark.catalog.refreshTable(layout.table(name))
+        return _refresh_gold(spark, layout, force)
+
+
+def _refresh_gold(spark: SparkSession, layout: Layout, force: bool) -> bool:
     observations, metadata = _observations(spark, layout), spark.table(layout.table("silver_metadata"))
     inputs = f"{layout.gold};{layout.source};{_fingerprint(observations, metadata)}"
     table = layout.table("gold_observations")
@@ -152,6 +173,7 @@ def refresh_gold(spark: SparkSession, layout: Layout, force: bool = False) -> bo
         spec.comment,
         {**spec.properties, _FINGERPRINT: inputs},
         spec.schema,
+        layout.gold_versions,
     )
     return True
 
@@ -176,10 +198,25 @@ def run_update(spark: SparkSession, layout: Layout) -> bool:
     return refresh_gold(spark, layout)
 
 
-def start_continuous(spark: SparkSession, layout: Layout, interval: str = "1 minute") -> list[StreamingQuery]:
-    """Keep all flows running in micro-batches.
+def start_gold(spark: SparkSession, layout: Layout, interval: str) -> list[StreamingQuery]:
+    """Refresh the gold view after each micro-batch that brings its inputs something new."""
 
-    Call :func:`register` once, and :func:`refresh_gold` as often as the view is needed.
-    """
+    def refreshed(*_) -> None:
+        refresh_gold(spark, layout)
+
+    changes = stream_table(spark, layout.path("silver_metadata"), SILVER_METADATA).select("series_id")
+    queries = []
+    if layout.gold == "upserted":
+        queries.append(start_current(spark, layout, interval, refreshed))
+    else:
+        facts = stream_table(spark, layout.path("silver_observations"), SILVER_OBSERVATIONS).select("series_id")
+        changes = changes.unionByName(facts)
+    writer = changes.writeStream.foreachBatch(refreshed).trigger(processingTime=interval)
+    return [*queries, writer.option("checkpointLocation", layout.checkpoint("gold_observations")).start()]
+
+
+def start_continuous(spark: SparkSession, layout: Layout, interval: str = "1 minute") -> list[StreamingQuery]:
+    """Keep all flows running in micro-batches, with the gold view behind them."""
     queries = [*start_bronze(spark, layout, interval), *start_silver(spark, layout, interval)]
-    return [*queries, start_current(spark, layout, interval)] if layout.gold == "upserted" else queries
+    register(spark, layout)
+    return [*queries, *start_gold(spark, layout, interval)]

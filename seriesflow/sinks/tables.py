@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,9 +107,6 @@ def sized(df: DataFrame, *by: str) -> DataFrame:
     return balanced.sortWithinPartitions(*by) if by else balanced
 
 
-_SLOTS = ("a", "b")
-
-
 def refresh(
     df: DataFrame,
     table: str,
@@ -116,18 +114,20 @@ def refresh(
     comment: str = "",
     properties: Mapping[str, str] | None = None,
     schema: StructType | None = None,
+    versions: int = 2,
 ) -> str:
     """Full refresh of a materialized view.
 
-    The rows go to the folder that is not in use and the table's location moves only once they are complete:
+    The rows go to a folder that is not in use and the table's location moves only once they are complete:
     readers see the old or the new rows, a failed refresh changes nothing, and ``df`` may read the table.
-    Two folders take turns, so no more than one old version is kept. ``schema`` may add column comments.
+    ``versions`` folders take turns. With two, a query that began before a refresh ended has until the next
+    one starts; keep more where queries run longer than that. ``schema`` may add column comments.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
-    live = table_location(spark, table).rstrip("/").rsplit("/", 1)[-1] if exists else None
-    slot = _SLOTS[1] if live == _SLOTS[0] else _SLOTS[0]
-    path = f"{root.rstrip('/')}/{slot}"
+    live = table_location(spark, table).rstrip("/").rsplit("/", 1)[-1] if exists else ""
+    turn = (int(live.removeprefix("v")) + 1) % versions if re.fullmatch(r"v\d+", live) else 0
+    path = f"{root.rstrip('/')}/v{turn}"
     df.write.mode("overwrite").parquet(path)
     if not exists:
         create_table(spark, table, schema or df.schema, path, comment, properties)

@@ -66,10 +66,25 @@ def upserter(
 
 
 def start_upsert(
-    df: DataFrame, target: str, checkpoint: str, interval: str | None = None, **options
+    df: DataFrame,
+    target: str,
+    checkpoint: str,
+    interval: str | None = None,
+    then: Callable[[], object] | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Start the upsert flow. Staged rows live with the checkpoint, since both are keyed by batch id."""
+    """Start the upsert flow. Staged rows live with the checkpoint, since both are keyed by batch id.
+
+    ``then`` is called after each merged batch.
+    """
     checkpoint = checkpoint.rstrip("/")
-    writer = df.writeStream.foreachBatch(upserter(target, f"{checkpoint}/staged", **options))
+    upsert = upserter(target, f"{checkpoint}/staged", **options)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch, batch_id)
+        if then is not None:
+            then()
+
+    writer = df.writeStream.foreachBatch(merge)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

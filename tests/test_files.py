@@ -265,10 +265,20 @@ def test_refresh_swaps_only_complete_versions(spark, tmp_path, table, rows):
     for n in (4, 5, 6):
         tables.refresh(spark.range(n).toDF("n"), name, f"{tmp_path}/v")
         assert spark.table(name).count() == n
-    assert sorted(p.name for p in (tmp_path / "v").iterdir()) == ["a", "b"]
+    assert sorted(p.name for p in (tmp_path / "v").iterdir()) == ["v0", "v1"]
     assert tables.table_properties(spark, name)["quality"] == "gold"
 
 
+def test_a_reader_keeps_its_version(spark, tmp_path, table):
+    name = table("versioned")
+    tables.refresh(spark.range(3).toDF("n"), name, f"{tmp_path}/v", versions=3)
+    reader = spark.read.parquet(tables.table_location(spark, name))
+    for n in (4, 5):
+        tables.refresh(spark.range(n).toDF("n"), name, f"{tmp_path}/v", versions=3)
+        assert (reader.count(), spark.table(name).count()) == (3, n)
+    assert sorted(p.name for p in (tmp_path / "v").iterdir()) == ["v0", "v1", "v2"]
+
+
 def test_clustered_files_hold_narrow_ranges(spark, tmp_path):
     df = spark.range(0, 4000, 1, 4).select(F.concat(F.lit("S"), F.col("id") % 40).alias("series_id"), F.col("id").alias("n"))
     tables.clustered(df, ["series_id"], 8).write.parquet(f"{tmp_path}/c")

@@ -295,20 +295,37 @@ def test_streamed_tables_are_not_compacted_in_place(spark, files, layout, tmp_pa
     assert spark.table(layout.table("gold_observations")).count() == 2
 
 
-def test_continuous_mode(spark, files, layout):
+@pytest.mark.parametrize("gold", ["current", "upserted"])
+def test_continuous_mode(spark, files, layout, rows, gold):
+    from dataclasses import replace
+
+    layout = replace(layout, gold=gold)
+    table = layout.table("gold_observations")
+
+    def values():
+        if not spark.catalog.tableExists(table):
+            return []
+        spark.catalog.refreshTable(table)
+        return rows(spark.table(table), "series_id", "value", "title")
+
+    def wait_for(wanted):
+        deadline = time.time() + 90
+        while time.time() < deadline and values() != wanted:
+            assert all(q.exception() is None for q in queries)
+            time.sleep(1)
+        assert values() == wanted
+
     _first_run(files)
     queries = update.start_continuous(spark, layout, "1 second")
     try:
-        deadline = time.time() + 60
-        found = 0
-        while found < 3 and time.time() < deadline:
-            time.sleep(1)
-            silver = f"{layout.path('silver_observations')}"
-            found = spark.read.schema(BRONZE_OBSERVATIONS).parquet(silver).count()
+        wait_for([("DFF", 4.5, "T"), ("DGS10", 3.9, "T")])
+        files.land("run2", "2024-12-10 12:00:00,DFF,Fed,2024-12-01,4.55")
+        wait_for([("DFF", 4.55, "T"), ("DGS10", 3.9, "T")])
+        files.describe("run2", {"series_id": "DFF", "title": "New"}, run="2024-12-10 12:00:00")
+        wait_for([("DFF", 4.55, "New"), ("DGS10", 3.9, "T")])
     finally:
         for query in queries:
             query.stop()
-    assert found == 3
 
 
 def test_validation_statements_run_on_the_tables(spark, files, layout, rows):

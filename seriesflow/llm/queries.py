@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm import chat, decontaminate, secrets, token_counts, url_rules
+from seriesflow.llm import bpe_chunks, chat, decontaminate, langid, secrets, token_counts, url_rules
 from seriesflow.llm.common import ship_package, table
 from seriesflow.session import configure
 
@@ -30,11 +30,24 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = F.crc32(F.col("doc_id").cast("string")) % 3
+    network = langid.train(docs.where(part != 1))
+    held_out = F.coalesce(part == 1, F.lit(False)).alias("held_out")
+    return langid.identify(docs.select("doc_id", "text", held_out), network).drop("text")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.scan(spark, docs, bench))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_chunks.report(bpe_chunks.encode(spark, docs, tokenizer_path("word_bpe_49k.json")))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(spark, table(spark, sf_dir, "documents"))
 
@@ -56,7 +69,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REGISTERED = (
+    op1_language_id,
     op2_decontamination,
+    op4_bpe,
     op5_secrets,
     op6_token_counts,
     op8_url_rules,

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ CUT_BITS, LEAST = 11, 256
 #: Chunks encoded once for the whole corpus, and the longest of them in bytes.
 HOT, HOT_BYTES = 4096, 16384
 #: Bounds of a worker's stores: bytes of chunks, number of words, characters of a stored word.
-STORE_BYTES, STORE_WORDS, WORD_CHARS = 24_000_000, 300_000, 64
+STORE_BYTES, STORE_WORDS, WORD_CHARS = 24_000_000, 900_000, 64
 
 #: White space of the tokenizer's pattern (Unicode White_Space); str.split knows four more characters.
 _BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -95,12 +96,13 @@ class Encoder:
 
     def __init__(self, path: str, hot: dict[bytes, Piece] | None = None) -> None:
         self.own, self.hot = tokenizer(path), hot or {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self.store: dict[bytes, Piece] = {}
         self.stored = 0
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Tokens of each text, four bytes each."""
+        return [array("I", e.ids).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
     def pieces(self, wanted: set[bytes]) -> dict[bytes, Piece]:
         """The encoded form of each chunk; new ones are encoded together."""
@@ -114,14 +116,11 @@ class Encoder:
         if len(self.words) > STORE_WORDS:
             self.words.clear()
         known = self.words
-        new = list({w for p in fresh.values() for w in p.ids if w not in known})
+        new = list({w for p in fresh.values() for w in p.ids}.difference(known))
         local = dict(zip(new, self._encode(new), strict=True))
         known.update((w, i) for w, i in local.items() if len(w) <= WORD_CHARS)
         for c, p in fresh.items():
-            ids: list[int] = []
-            for w in p.ids:
-                ids += known.get(w) or local.get(w) or self._encode([w])[0]
-            p.ids = np.array(ids, np.uint32)
+            p.ids = b"".join([known.get(w) or local[w] for w in p.ids])
             if self.stored + 3 * len(c) > STORE_BYTES:
                 self.store.clear()
                 self.stored = 0
@@ -130,26 +129,24 @@ class Encoder:
                 self.stored += 3 * len(c)
         return found | fresh
 
-    def repaired(self, joins: list[tuple[list[str], str, list[str]]]) -> list[np.ndarray]:
+    def repaired(self, joins: list[tuple[list[str], str, list[str]]]) -> list[bytes]:
         """Tokens of the word at each join, between the whole words before and behind it (nearest last, nearest first).
 
         The window holds the word and as many neighbours as are known; it agrees if the outer words have the tokens that they have by themselves, which is what their chunks hold.
         """
         texts = [" ".join([*before, word, *behind]) for before, word, behind in joins]
-        outer = list({w for before, _, behind in joins for w in (*before, *behind)})
+        outer = list({w for before, _, behind in joins for w in (*before, *behind)}.difference(self.words))
         alone = dict(zip(outer, self._encode(outer), strict=True))
         out = []
         for (before, word, behind), ids in zip(joins, self._encode(texts), strict=True):
-            left = [i for w in before for i in alone[w]]
-            right = [i for w in behind for i in alone[w]]
-            end = len(ids) - len(right)
-            if ids[: len(left)] != left or ids[end:] != right or end < len(left):
-                # No agreement at the edges: only the text's own white space bounds the word.
-                ids, left, end = self._encode([word])[0], [], None
-            out.append(np.array(ids[len(left) : end], np.uint32))
+            left, right = (b"".join([self.words.get(w) or alone[w] for w in side]) for side in (before, behind))
+            if ids.startswith(left) and ids.endswith(right) and len(ids) >= len(left) + len(right):
+                out.append(ids[len(left) : len(ids) - len(right)])
+            else:  # no agreement: only the text's own white space bounds the word
+                out.append(self._encode([word])[0])
         return out
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         cut = [chunks(t) for t in texts]
         pieces = self.pieces({c for d in cut for c in d})
         plans, joins = [], []
@@ -172,8 +169,7 @@ class Encoder:
                 joins.append(([before] if before else [], open_word, []))
             plans.append(plan)
         fixed = self.repaired(joins) if joins else []
-        none = np.zeros(0, np.uint32)
-        return [np.concatenate([none, *[fixed[x] if isinstance(x, int) else x for x in plan]]) for plan in plans]
+        return [b"".join([fixed[x] if isinstance(x, int) else x for x in plan]) for plan in plans]
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,11 +236,11 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, text: str = "text",
             for i in range(0, batch.num_rows, 128):
                 part = batch.slice(i, 128)
                 ids = encoder.encode([(t or "").encode() for t in part.column(text).to_pylist()])
-                decoded = encoder.own.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+                decoded = encoder.own.decode_batch([array("I", x).tolist() for x in ids], skip_special_tokens=False)
                 arrays = [
                     *part.columns,
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array(ids, pa.binary()),
                     pa.array(decoded, pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, "n_tokens", "ids", "decoded"])

@@ -120,7 +120,7 @@ class Encoder:
         local = dict(zip(new, self._encode(new), strict=True))
         known.update((w, i) for w, i in local.items() if len(w) <= WORD_CHARS)
         for c, p in fresh.items():
-            p.ids = b"".join([known.get(w) or local[w] for w in p.ids])
+            p.ids = b"".join([known[w] if w in known else local[w] for w in p.ids])
             if self.stored + 3 * len(c) > STORE_BYTES:
                 self.store.clear()
                 self.stored = 0
@@ -139,7 +139,7 @@ class Encoder:
         alone = dict(zip(outer, self._encode(outer), strict=True))
         out = []
         for (before, word, behind), ids in zip(joins, self._encode(texts), strict=True):
-            left, right = (b"".join([self.words.get(w) or alone[w] for w in side]) for side in (before, behind))
+            left, right = (b"".join([self.words[w] if w in self.words else alone[w] for w in side]) for side in (before, behind))
             if ids.startswith(left) and ids.endswith(right) and len(ids) >= len(left) + len(right):
                 out.append(ids[len(left) : len(ids) - len(right)])
             else:  # no agreement: only the text's own white space bounds the word

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm import bpe_chunks, chat, decontaminate, langid, secrets, token_counts, url_rules
+from seriesflow.llm import bpe_chunks, chat, decontaminate, embeddings, langid, near_dups, secrets, suffixes, token_counts, url_rules
 from seriesflow.llm.common import ship_package, table
 from seriesflow.session import configure
 
@@ -43,6 +43,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.scan(spark, docs, bench))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.classes(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_chunks.report(bpe_chunks.encode(spark, docs, tokenizer_path("word_bpe_49k.json")))
@@ -56,6 +61,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     judged = url_rules.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -68,14 +77,22 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_log(chat.as_events(rows.unionByName(own))))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffixes.remove_repeated(spark, table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _REGISTERED = (
     op1_language_id,
     op2_decontamination,
+    op3_near_duplicates,
     op4_bpe,
     op5_secrets,
     op6_token_counts,
+    op7_embeddings,
     op8_url_rules,
     op9_chat,
+    op10_suffix_dedup,
 )
 
 

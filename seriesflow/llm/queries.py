@@ -109,4 +109,6 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: _configured(query) for query in _REGISTERED}
+    import corpus_pipeline  # it imports this module
+
+    return {query.__name__: _configured(query) for query in _REGISTERED} | {"pipeline": _configured(corpus_pipeline.run)}

@@ -32,7 +32,7 @@ from seriesflow.llm.decontaminate import words
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS_PER_BAND = 24, 5
 K = BANDS * ROWS_PER_BAND
-ROUNDS = 4
+ROUNDS = 8
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -96,7 +96,10 @@ def dart_signature(elements: np.ndarray, weights: np.ndarray, k: int = K) -> np.
 
 
 def band_hashes(content: str) -> np.ndarray:
-    elements, counts = np.unique(shingles(content), return_counts=True)
+    return bands_of(*np.unique(shingles(content), return_counts=True))
+
+
+def bands_of(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
     signature = dart_signature(elements, counts.astype(np.float64)).reshape(BANDS, ROWS_PER_BAND)
     salted = mix((signature * _FACTORS[:ROWS_PER_BAND]).sum(1) + np.arange(BANDS, dtype=np.uint64))
     return salted.view(np.int64)
@@ -111,11 +114,13 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes = [band_hashes(c) for c in batch.column("content").to_pylist()]
+        bags = [np.unique(shingles(c), return_counts=True) for c in batch.column("content").to_pylist()]
+        sizes = pa.array([int(counts.sum()) for _, counts in bags], pa.int64())
+        hashes = [bands_of(*bag) for bag in bags]
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.int64)
         offsets = pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
-        yield pa.RecordBatch.from_arrays([batch.column(ROW), lists], [ROW, "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(ROW), sizes, lists], [ROW, "size", "bands"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,10 +151,16 @@ def verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "content_a", "content_b").mapInArrow(_verified, "a bigint, b bigint")
 
 
-def links(spark: SparkSession, contents: DataFrame) -> DataFrame:
-    """``(node, component)`` of the representatives ``(__row, content)`` that are similar to others."""
-    bands = contents.mapInArrow(_bands, f"{ROW} bigint, bands array<bigint>")
-    bands = materialize(spark, bands.select(ROW, F.explode("bands").alias("bucket")), "bands")
+#: Sizes of documents that can link: the smaller one has at least THRESHOLD of the larger one's shingles.
+def _comparable(a: str, b: str) -> str:
+    return f"least({a}, {b}) >= {THRESHOLD} * greatest({a}, {b})"
+
+
+def links(spark: SparkSession, contents: DataFrame, representatives: DataFrame) -> DataFrame:
+    """``(node, component)`` of the representatives (``__row``) among ``contents`` that are similar to others."""
+    signed = contents.mapInArrow(_bands, f"{ROW} bigint, size bigint, bands array<bigint>").join(representatives, ROW)
+    signed = materialize(spark, signed, "signed")
+    bands = signed.select(ROW, "size", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = materialize(spark, bands.join(shared, "bucket"), "met")
     # A document that meets many others makes the better centre.
@@ -171,12 +182,27 @@ def links(spark: SparkSession, contents: DataFrame) -> DataFrame:
         if open_rows.isEmpty():
             break
         if turn < ROUNDS:
-            labels = open_rows.where(F.col(ROW) == F.col("centre")).select("bucket", F.col("label").alias("centre_label"))
-            pairs = open_rows.join(labels, "bucket").where("label <> centre_label").select(F.col(ROW).alias("a"), F.col("centre").alias("b"))
+            labels = open_rows.where(F.col(ROW) == F.col("centre")).select(
+                "bucket", F.col("label").alias("centre_label"), F.col("size").alias("centre_size")
+            )
+            pairs = (
+                open_rows.join(labels, "bucket")
+                .where(f"label <> centre_label AND {_comparable('size', 'centre_size')}")
+                .select(F.col(ROW).alias("a"), F.col("centre").alias("b"))
+            )
             met = open_rows.where(F.col(ROW) != F.col("centre")).select(*met.columns)
         else:
-            other = open_rows.select("bucket", F.col(ROW).alias("b"), F.col("label").alias("other"))
-            pairs = open_rows.select("bucket", F.col(ROW).alias("a"), "label").join(other, "bucket").where("a > b AND label <> other").select("a", "b")
+            # A pair that meets in several buckets is taken from the first of them.
+            open_rows = open_rows.drop("size").join(signed, ROW)
+            other = open_rows.select(
+                "bucket", F.col(ROW).alias("b"), F.col("label").alias("other"), F.col("size").alias("other_size"), F.col("bands").alias("other_bands")
+            )
+            first = "filter(zip_with(bands, other_bands, (x, y) -> if(x = y, x, NULL)), x -> x IS NOT NULL)[0] = bucket"
+            pairs = (
+                open_rows.join(other, "bucket")
+                .where(f"{ROW} > b AND label <> other AND {_comparable('size', 'other_size')} AND {first}")
+                .select(F.col(ROW).alias("a"), "b")
+            )
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         found = materialize(spark, verified(pairs, texts), "links")
         edges = found if edges is None else edges.unionByName(found)
@@ -196,8 +222,7 @@ def classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text:
     first = members.groupBy("key").agg(F.min(ROW).alias("rep"))
     members = materialize(spark, members.join(first, "key").drop("key"), "members")
     singles = members.select(F.col("rep").alias(ROW)).distinct()
-    reps = rows.where(F.col(text).isNotNull()).select(ROW, "content").join(singles, ROW)
-    known = links(spark, materialize(spark, reps, "contents"))
+    known = links(spark, rows.where(F.col(text).isNotNull()).select(ROW, "content"), singles)
     labelled = members.join(known, members["rep"] == known["node"], "left").select(
         ROW, "doc_id", F.coalesce("component", "rep").alias("label")
     )

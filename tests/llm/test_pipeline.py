@@ -1,0 +1,18 @@
+import corpus_pipeline
+from seriesflow.llm import oracle, queries
+
+
+def test_stages_keep_the_columns(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert out.columns == [*docs.columns, "n_tokens", "ids", "decoded"]
+    assert 0 < out.count() < docs.count()
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, sf_dir)
+    assert empty.count() == 0
+
+
+def test_every_statement_has_a_query():
+    assert set(oracle.statements()) <= set(queries.registered())

@@ -2,8 +2,9 @@
 
 The cells are fitted in numpy on a bounded sample (``SAMPLE`` vectors, more for many cells) and every vector is
 assigned. A vector also visits the cells that lie within ``reach`` of the linking distance behind the plane between
-that cell and its own; ``reach = 1`` finds every link, as a linked vector can't lie further away. By default it is a
-half, four standard deviations of a difference in 64 dimensions. A cell is cut into blocks of some ``BLOCK`` vectors,
+that cell and its own. The distances of two linked vectors to the plane between their cells add up to the linking
+distance at most, so one of them visits the other's cell if ``reach`` is a half. A link is counted for the vector at
+home and, if that one does not visit the visitor's own cell, for the visitor, too. A cell is cut into blocks of some ``BLOCK`` vectors,
 and each pair of blocks is a task's unit, so that no cell is gathered. A unit returns the number of links of each
 vector and a spanning forest, not the pairs. Equal vectors are compared once.
 
@@ -28,6 +29,8 @@ THRESHOLD, REACH = 0.95, 0.5
 PER_CELL, MOST_CELLS, BLOCK = 1000, 4096, 1024
 SAMPLE = 20_000
 STEPS = 8
+#: For rounding: a visitor may lie so much further behind the plane.
+SLACK = 1e-9
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -74,20 +77,35 @@ def _assigner(centres: dict[int, np.ndarray], margin: float):
                 s = x @ c.T
                 home = s.argmax(1)
                 apart = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0))[home]
-                near = s.max(1, keepdims=True) - s <= margin * apart
+                near = s.max(1, keepdims=True) - s <= margin * apart + SLACK
                 near[np.arange(len(x)), home] = True
                 i, cell = np.nonzero(near)
+                # The row at home lists all cells of its vector; these are the runs of ``cell``.
+                listed = np.where(cell == home[i], near.sum(1)[i], 0)
+                visits = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(listed)].astype(np.int32)), pa.array(cell.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rows[at][i]), pa.array(copies[at][i]), pa.array(np.full(len(i), dim, np.int32)),
-                        pa.array(cell.astype(np.int32)), pa.array(cell == home[i]), pa.array([v.tobytes() for v in x[i]], pa.binary()),
+                        pa.array(cell.astype(np.int32)), pa.array(cell == home[i]), pa.array(home[i].astype(np.int32)), visits, pa.array([v.tobytes() for v in x[i]], pa.binary()),
                     ],
-                    ["rep", "copies", "dim", "cell", "home", "unit"],
+                    ["rep", "copies", "dim", "cell", "home", "at", "visits", "unit"],
                 )
 
     return run
 
 
+def _visited(own: pd.DataFrame, other: pd.DataFrame) -> np.ndarray:
+    """For each pair, whether the vector of ``own`` visits the home of that of ``other``."""
+    homes, place = np.unique(other["at"].to_numpy(), return_inverse=True)
+    cells = np.concatenate(own["visits"].to_list())
+    row = np.repeat(np.arange(len(own)), own["visits"].map(len).to_numpy())
+    column = np.minimum(np.searchsorted(homes, cells), len(homes) - 1)
+    same = homes[column] == cells
+    visits = np.zeros((len(own), len(homes)), bool)
+    visits[row[same], column[same]] = True
+    return visits[:, place]
+
+
 def _compare(group: pd.DataFrame) -> pd.DataFrame:
     """Links between the vectors at home in a block and those of another block of the same cell."""
     own, other = group[group["role"] == 0], group[group["role"] == 1]
@@ -98,6 +116,8 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
         near = x @ y.T >= THRESHOLD
         near[a[:, None] == b[None, :]] = False
         links = near @ other["copies"].to_numpy()
+        # The cell of such a visitor never sees the vector at home.
+        unseen = own["copies"].to_numpy() @ (near & ~_visited(own, other))
         # Smallest names spread along the links until nothing changes: a forest of the block, not its pairs.
         most = np.iinfo(np.int64).max
         la, lb = a.copy(), b.copy()
@@ -108,7 +128,7 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
                 break
             la, lb = na, nb
         out["rep"] = np.concatenate((a, b[near.any(0)]))
-        out["links"] = np.concatenate((links, np.zeros(int(near.any(0).sum()), np.int64)))
+        out["links"] = np.concatenate((links, unseen[near.any(0)]))
         out["joined"] = np.concatenate((la, lb[near.any(0)]))
     return pd.DataFrame(out).astype({"rep": "int64", "links": "int64", "joined": "int64"})
 
@@ -122,7 +142,9 @@ def near_duplicates(
     per_cell: int = PER_CELL,
     block: int = BLOCK,
 ) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)`` of each row."""
+    """``(vec_id, n_links, component_id, kept)`` of each row; ``reach`` is a half at least."""
+    if reach < 0.5:
+        raise ValueError("a reach of less than a half misses links")
     rows = identified(spark, vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding")))
     sound = (
         "embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
@@ -134,7 +156,7 @@ def near_duplicates(
     centres = fit_cells(spark, classes, per_cell)
     margin = reach * float(np.sqrt(2 - 2 * THRESHOLD))
     placed = classes.select("rep", "copies", "dim", "embedding").mapInArrow(
-        _assigner(centres, margin), "rep bigint, copies bigint, dim int, cell int, home boolean, unit binary"
+        _assigner(centres, margin), "rep bigint, copies bigint, dim int, cell int, home boolean, at int, visits array<int>, unit binary"
     )
     placed = materialize(spark, placed, "placed")
     # One row for each cell; the number of cells is bounded.
@@ -143,7 +165,7 @@ def near_duplicates(
     )
     dealt = placed.join(F.broadcast(sizes.where("own > 0")), ["dim", "cell"])
     picked = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
-    columns = ["dim", "cell", "rep", "copies", "unit"]
+    columns = ["dim", "cell", "rep", "copies", "at", "visits", "unit"]
     homes = dealt.where("home").select(
         *columns, F.lit(0).alias("role"), (picked % F.col("own")).cast("int").alias("i"), F.explode(F.expr("sequence(0, all - 1)")).alias("j")
     )

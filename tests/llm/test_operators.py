@@ -204,6 +204,27 @@ def test_vectors(spark):
     assert usual >= 0.9 * near.sum()
 
 
+def test_vectors_by_default_in_few_dimensions(spark):
+    rng = np.random.default_rng(4)
+    turn = rng.uniform(0, 2 * np.pi, 200)
+    circle = np.stack((np.cos(turn), np.sin(turn), *[np.zeros(200)] * 6), 1) + rng.normal(size=(200, 8)) * 0.01
+    sphere = np.concatenate((rng.normal(size=(200, 3)), np.zeros((200, 5))), 1)
+    line = np.eye(8)[3] + np.linspace(-2, 2, 150)[:, None] * np.eye(8)[4] + rng.normal(size=(150, 8)) * 0.03
+    x = np.concatenate((circle, sphere, line, circle[:30], line[40:60])).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(spark, df, per_cell=40, block=32).collect()}
+    y = x.astype(float)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    near = y @ y.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert [got[i]["n_links"] for i in range(len(x))] == near.sum(1).tolist()
+    name = list(range(len(x)))
+    for i, j in zip(*np.nonzero(near), strict=True):
+        low, high = sorted((name[i], name[j]))
+        name = [low if v == high else v for v in name]
+    assert [got[i]["component_id"] for i in range(len(x))] == name
+
+
 def test_url_rules(spark):
     rng = random.Random(5)
     hosts = ["a.com", "b.a.com", "com", "xa.com", "A.Com", "c.b.a.com", "org"]

@@ -186,7 +186,11 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def hot_chunks(spark: SparkSession, docs: DataFrame, text: str, hot: int = HOT) -> list[bytes]:
-    """The ``hot`` chunks that occur most often, more than once: at most HOT * HOT_BYTES bytes."""
+    """The ``hot`` chunks that occur most often, more than once: at most HOT * HOT_BYTES bytes.
+
+    A chunk that its row doesn't hold when it is read again, as the rows were numbered anew, is left out. Chunks only
+    save work, so the tokens stay the same.
+    """
     docs = identified(spark, docs).select(ROW, F.col(text).alias("text"))
     most = (
         docs.mapInArrow(_hashes, f"{ROW} bigint, hash bigint")

@@ -29,10 +29,10 @@ def materialize(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
 
 
 def identified(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` with a unique long column ``__row`` that is the same at every evaluation.
+    """``df`` with a unique long column ``__row``, for callers that number the rows in one scan only.
 
-    Rows need not have a key: repeated and null ids stay apart. A scan of files always gives the same rows to
-    the same partition, so the number of partition and row is stable; any other input is written first.
+    Rows need not have a key: repeated and null ids stay apart. Another scan of the same files may give the rows
+    other numbers, as splits follow the cores of the moment. Where several steps read ``__row``, use ``stored``.
     """
     try:
         df.select("_metadata.file_path")
@@ -41,6 +41,11 @@ def identified(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` with a unique long column ``__row``, written once, so that every later step reads the same numbers."""
+    return materialize(spark, df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """``(node, component)`` of an undirected graph given as ``(a, b)``: the smallest node that links reach.
 

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import ROW, identified, materialize, sha256_hex
+from seriesflow.llm.common import ROW, identified, materialize, sha256_hex, stored
 from seriesflow.llm.url_rules import LOWER, UPPER
 
 SIZE = 10
@@ -160,14 +160,14 @@ def report(scanned: DataFrame) -> DataFrame:
 
 def remove_documents(spark: SparkSession, docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold a window of an item."""
-    docs = identified(spark, docs)
+    docs = stored(spark, docs)
     hit = scan(spark, docs, bench, **options).where("n_hit > 0").select(ROW)
     return docs.join(materialize(spark, hit, "hits"), ROW, "left_anti").drop(ROW)
 
 
 def remove_spans(spark: SparkSession, docs: DataFrame, bench: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with the hit words, and what lies between those of one span, cut from their texts."""
-    docs = identified(spark, docs)
+    docs = stored(spark, docs)
     spans = materialize(spark, scan(spark, docs, bench, text=text, **options).where("n_hit > 0").select(ROW, "spans"), "spans")
     breaks = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     body = F.regexp_replace(text, rf"\A{breaks}", "")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import ROW, components, identified, materialize
+from seriesflow.llm.common import ROW, components, materialize, stored
 from seriesflow.llm.decontaminate import words
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -213,7 +213,8 @@ def links(spark: SparkSession, contents: DataFrame, representatives: DataFrame)
 def classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: ``__row, doc_id, class_id, class_size, kept``."""
     if ROW not in docs.columns:
-        docs = identified(spark, docs)
+        docs = stored(spark, docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+        doc_id, text = "doc_id", "text"
     w = words(F.col(text))
     content = F.when(F.size(w) > 0, F.array_join(w, " ")).otherwise(F.concat(F.lit("\n"), F.col(text)))
     content = F.when(F.col(text).isNull(), F.concat(F.lit("\r"), F.col(ROW).cast("string"))).otherwise(content)
@@ -239,6 +240,6 @@ def classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text:
 
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class of near duplicates."""
-    docs = identified(spark, docs)
+    docs = stored(spark, docs)
     dropped = materialize(spark, classes(spark, docs, **options).where("NOT kept").select(ROW), "dropped")
     return docs.join(dropped, ROW, "left_anti").drop(ROW)

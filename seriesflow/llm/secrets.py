@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import ROW, identified, materialize, sha256_hex
+from seriesflow.llm.common import ROW, materialize, sha256_hex, stored
 
 #: Distance in code points within which parts belong together, and the width of the join's blocks.
 REACH = 200
@@ -148,14 +148,14 @@ def _listed(spans: str) -> str:
 
 def report(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts of the base kinds, their digest and all spans of each document."""
-    docs = identified(spark, docs)
+    docs = stored(spark, docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     base = f"filter(spans, s -> s.k < {len(BASE)})"
     counts = [
         F.expr(f"cast(size(filter(spans, s -> s.k = {i})) AS bigint)").alias(f"n_{k}") for i, k in enumerate(BASE)
     ]
     return (
-        docs.select(ROW, F.col(doc_id).alias("doc_id"))
-        .join(find(spark, docs, text), ROW, "left")
+        docs.select(ROW, "doc_id")
+        .join(find(spark, docs), ROW, "left")
         .select("doc_id", F.coalesce("spans", F.array().cast("array<struct<start:bigint,k:int,stop:bigint>>")).alias("spans"))
         .select("doc_id", *counts, sha256_hex(F.expr(_listed(base))).alias("base_sha256"), F.expr(_listed("spans")).alias("spans"))
     )
@@ -163,7 +163,7 @@ def report(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: s
 
 def redact(spark: SparkSession, docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of a secret replaced by ``mark``; overlapping spans become one."""
-    docs = identified(spark, docs)
+    docs = stored(spark, docs)
     folded = f"""aggregate(spans, struct('' AS out, 0L AS at),
         (acc, s) -> if(s.stop <= acc.at, acc, struct(
             concat(acc.out, if(s.start >= acc.at, concat(substring(`{text}`, cast(acc.at + 1 AS int), cast(s.start - acc.at AS int)), '{mark}'), '')) AS out,

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import ROW, identified, materialize
+from seriesflow.llm.common import ROW, materialize, stored
 from seriesflow.llm.near_dups import mix
 
 SPAN, CORE = 200, 40
@@ -353,7 +353,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeated(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MOST) -> DataFrame:
     """``(__row, doc_id, n_bytes, n_removed, n_spans, kept)``: ``kept`` holds the remaining bytes of each document."""
-    docs = identified(spark, docs).select(ROW, F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = stored(spark, docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     ranges = covered(spark, docs, most).groupBy(ROW).agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
     ranges = materialize(spark, ranges, "ranges")
     kind = docs.schema["doc_id"].dataType.simpleString()

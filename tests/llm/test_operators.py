@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from seriesflow.llm import (
     bpe_chunks, chat, decontaminate, embeddings, langid, near_dups, secrets, suffixes, token_counts, url_rules,
 )
+from seriesflow.llm import common
 from seriesflow.llm.common import components, ship_package
 from seriesflow.llm.queries import tokenizer_path
 
@@ -284,6 +286,48 @@ def test_suffixes(spark):
     assert suffixes.remove_repeated(spark, documents(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["suffixes", "report", "redact", "documents", "keep_one"])
+def test_rows_keep_their_numbers_when_files_are_split_anew(spark, monkeypatch, tmp_path, name):
+    rng = random.Random(8)
+    passage, item = sentence(rng, 80), sentence(rng, 30)
+    texts = [sentence(rng, rng.randint(60, 300)) for _ in range(24)]
+    texts = [
+        t if i % 4 == 0 else f"{t} {passage}" if i % 4 == 1 else f"{t} {item} {'z' * i}" if i % 4 == 2 else f"{t} password=longenough{i}"
+        for i, t in enumerate(texts)
+    ]
+    texts += [texts[0] + " more", texts[4] + " more", texts[9]]
+    for i in range(0, len(texts), 3):
+        part = spark.createDataFrame([(j, texts[j]) for j in range(i, i + 3)], "doc_id bigint, text string")
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    run = {
+        "suffixes": lambda: suffixes.remove_repeated(spark, docs).drop("__row"),
+        "keep_one": lambda: near_dups.keep_one(spark, docs),
+        "report": lambda: secrets.report(spark, docs),
+        "redact": lambda: secrets.redact(spark, docs),
+        "documents": lambda: decontaminate.remove_documents(spark, docs, bench),
+    }[name]
+    turns = itertools.cycle(["8", "1", "4", "1", "2"])
+
+    def anew(session, df, purpose, write=common.materialize):
+        session.conf.set("spark.sql.files.minPartitionNum", next(turns))
+        return write(session, df, purpose)
+
+    for module in (common, suffixes, near_dups, secrets, decontaminate):
+        monkeypatch.setattr(module, "materialize", anew)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        out = run()
+        spark.conf.set("spark.sql.files.minPartitionNum", next(turns))
+        split = sorted(tuple(r) for r in out.collect())
+    finally:
+        monkeypatch.undo()
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert split == sorted(tuple(r) for r in run().collect())
+
+
 def test_suffix_order():
     rng = np.random.default_rng(0)
     data = rng.integers(97, 99, 400, dtype=np.uint8)

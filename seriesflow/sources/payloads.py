@@ -44,11 +44,14 @@ SERIES_PAYLOAD = StructType([StructField("seriess", ArrayType(_text_struct("id",
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """(series_id, payload) of response files named ``<series_id>.json`` or ``<series_id>-<page>.json``."""
+    """(series_id, payload) of response files named ``<series_id>.json`` or ``<series_id>-<page>.json``.
+
+    A page is a number; ids may hold ``-`` and ``.``.
+    """
     name = F.col("_metadata.file_name")
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(
-        F.regexp_extract(name, r"^([^.-]+)", 1).alias("series_id"), F.col("value").alias("payload")
+        F.regexp_extract(name, r"^(.+?)(?:-[0-9]+)?(?:\.json.*)?$", 1).alias("series_id"), F.col("value").alias("payload")
     )
 
 

@@ -314,3 +314,10 @@ def test_jobs(spark, tmp_path, responses, table, capsys):
     assert "gold refreshed" in printed and "gold unchanged" in printed and "Orphaned observations" in printed
     assert spark.table("jobs_db.gold_observations").count() == 4
     spark.sql("DROP DATABASE jobs_db CASCADE")
+
+
+def test_series_ids_with_hyphens_and_dots_stay_apart(spark, tmp_path):
+    for name in ("A-B.json", "A-C-1.json", "A-C-12.json", "A.D.json", "E.json"):
+        (tmp_path / name).write_text('{"observations": []}')
+    read = payloads.read_payloads(spark, str(tmp_path))
+    assert sorted(r["series_id"] for r in read.collect()) == ["A-B", "A-C", "A-C", "A.D", "E"]

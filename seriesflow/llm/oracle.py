@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesflow.llm import secrets
+from seriesflow.llm import apportion, secrets
 from seriesflow.llm.queries import URL_RULES
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -98,10 +98,59 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
 
 
+_LOT = "CAST('0x' || substr(md5(concat_ws('|', '{seed}', {parts})), 1, 15) AS BIGINT)"
+_QUOTA = """{name}_w AS (SELECT *, sum(CAST(w AS DOUBLE)) OVER g AS w_all, count(*) OVER g AS w_cells FROM {name} WHERE w > 0
+                     WINDOW g AS (PARTITION BY grp)),
+{name}_b AS (SELECT *, CASE WHEN 2 * n > w_cells THEN greatest(0, CAST(floor(w * (n - w_cells / 2) / w_all + 0.5) AS BIGINT) - 1) ELSE 0 END AS base,
+                    CAST(floor(w * (n + w_cells / 2) / w_all + 0.5) AS BIGINT) + 1 AS top FROM {name}_w),
+{name}_o AS (SELECT *, n - sum(base) OVER (PARTITION BY grp) AS open FROM {name}_b),
+{name}_k AS (SELECT *, unnest(range(base, top + 1)) AS k FROM {name}_o),
+{name}_r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY w / (2 * k + 1) DESC, rank, shard, k) <= open AS won FROM {name}_k),
+{name}_q AS (SELECT rank, shard, CAST(any_value(base) + count(*) FILTER (WHERE won) AS BIGINT) AS quota FROM {name}_r GROUP BY rank, shard)"""
+
+_STEP = " ".join(f"WHEN {i} THEN {p}" for i, p in enumerate(apportion.STEPS))
+MIXING = f"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(length(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, CAST(row_number() OVER (ORDER BY source NULLS LAST) - 1 AS BIGINT) AS rank FROM s),
+v AS (SELECT *, [5, 2, 1][rank % 3 + 1] AS weight, 3 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM r),
+f AS (SELECT *, CAST(sum(weight) OVER () AS BIGINT) AS weights, CAST(coalesce(sum(cap) OVER o, 0) AS BIGINT) AS filled,
+             CAST(coalesce(sum(weight) OVER o, 0) AS BIGINT) AS spent FROM v
+      WINDOW o AS (ORDER BY cap * (10 // weight), rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+h AS (SELECT *, cap * (weights - spent) <= weight * (total - filled) AS held FROM f),
+l AS (SELECT *, total - coalesce(sum(cap) FILTER (WHERE held) OVER (), 0) AS rest, coalesce(sum(weight) FILTER (WHERE NOT held) OVER (), 0) AS sharing FROM h),
+t AS (SELECT source, source_size, rank, total,
+             CASE WHEN held THEN CAST(cap AS DOUBLE) ELSE CAST(weight * rest AS DOUBLE) / nullif(CAST(sharing AS DOUBLE), 0) END AS target,
+             CASE WHEN total > 0 THEN greatest(1, CAST(floor(total / {apportion.BLOCK} + 0.5) AS BIGINT)) ELSE 0 END AS n,
+             greatest(1, CAST(ceil(source_size / greatest({apportion.SHARD_WORDS}, CAST(ceil(total / {apportion.MOST_SHARDS}) AS BIGINT))) AS BIGINT)) AS shards
+      FROM l),
+a AS (SELECT 0 AS grp, rank, 0 AS shard, target AS w, n FROM t),
+{_QUOTA.format(name="a")},
+p AS (SELECT doc_id, d.source, size, source_size, target, rank, {_LOT.format(seed=apportion.SEED, parts="coalesce(CAST(doc_id AS VARCHAR), '')")} AS place, shards
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, place % shards AS shard FROM p),
+c AS (SELECT rank AS grp, rank, e.shard, CAST(sum(size) AS BIGINT) AS w, any_value(quota) AS n FROM e JOIN a_q USING (rank) GROUP BY rank, e.shard),
+{_QUOTA.format(name="c")},
+z AS (SELECT c.rank, c.shard, w AS shard_size, greatest(1, CAST(floor(w / {apportion.BLOCK} + 0.5) AS BIGINT)) AS blocks, coalesce(c_q.quota, 0) AS quota,
+             {_LOT.format(seed=apportion.SEED, parts="c.rank, c.shard")} AS lot
+      FROM c LEFT JOIN c_q ON c.rank = c_q.rank AND c.shard = c_q.shard),
+y AS (SELECT *, least(quota, 3 * blocks) // blocks AS passes, least(quota, 3 * blocks) % blocks AS left_over, lot % blocks AS shift,
+             CASE lot % {len(apportion.STEPS)} {_STEP} END AS step FROM z),
+x AS (SELECT row_number() OVER () AS id, *, CAST(sum(size) OVER (PARTITION BY rank, shard ORDER BY place, doc_id, size
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS stop FROM e),
+m AS (SELECT *, stop - size AS start FROM x LEFT JOIN y USING (rank, shard)),
+j AS (SELECT *, unnest(range(((start + 1) * blocks - 1) // shard_size, (stop * blocks - 1) // shard_size + 1)) AS j FROM m WHERE size > 0 AND left_over > 0),
+g AS (SELECT id, sum(least(stop, (j + 1) * shard_size // blocks) - greatest(start, j * shard_size // blocks)) AS part
+      FROM j WHERE (step * j + shift) % blocks < left_over GROUP BY id)
+SELECT doc_id, size, source_size, target, CAST(coalesce(passes, 0) * size + coalesce(part, 0) AS BIGINT) AS taken
+FROM m LEFT JOIN g USING (id)"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op2_decontamination": DECONTAMINATION.strip(),
         "op5_secrets": SECRETS.strip(),
         "op8_url_rules": URLS.strip(),
         "op9_chat": CHAT.strip(),
+        "op13_mixing": MIXING.strip(),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm import bpe_chunks, chat, decontaminate, embeddings, langid, near_dups, secrets, suffixes, token_counts, url_rules
+from seriesflow.llm import align, apportion, bpe_chunks, chat, decontaminate, embeddings, langid, near_dups, periodic, secrets, suffixes, token_counts, url_rules
 from seriesflow.llm.common import ship_package, table
 from seriesflow.session import configure
 
@@ -82,6 +82,49 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The documents chosen by the checksum of their id repeat a stretch of their words up to the end."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(periodic.WORD), F.lit(0))
+    docs = docs.select("doc_id", "text", checksum.alias("h")).withColumns(
+        {"g": F.floor(F.col("h") / 10), "words": F.when(F.col("h") % 10 == 0, words)}
+    )
+    docs = docs.withColumn("n", F.size("words"))
+    chosen = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("int")
+    chosen = chosen.withColumn("p", period)
+    rest = F.col("n") - F.col("a")
+    cycle = F.slice("words", F.col("a") + 1, F.col("p"))
+    repeated = F.slice(F.flatten(F.array_repeat(cycle, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), repeated), " ")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(_with_planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.floor(1000 * F.col("strongest.length") / F.col("strongest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align.align(spark, docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = apportion.mix(spark, table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 _REGISTERED = (
     op1_language_id,
     op2_decontamination,
@@ -93,6 +136,9 @@ _REGISTERED = (
     op8_url_rules,
     op9_chat,
     op10_suffix_dedup,
+    op11_periodic_runs,
+    op12_alignment,
+    op13_mixing,
 )
 
 

@@ -250,12 +250,24 @@ _STATEMENTS = {
         UNION ALL SELECT 'silver_observations', 'date_not_null', count(*) FILTER (WHERE date IS NULL), count(date) FROM typed
         UNION ALL SELECT 'silver_observations', 'value_not_null', count(*) FILTER (WHERE value IS NULL), count(value) FROM typed
         UNION ALL SELECT 'silver_metadata', 'pk_series_id_not_null', count(*) FILTER (WHERE series_id IS NULL), count(series_id) FROM meta"""),
-    "j9_stream_gold": ("obs typed meta", """
+    **dict.fromkeys(("j9_stream_gold", "j9_late_revision", "b5_incremental_view"), ("obs typed meta", """
         SELECT o.series_id, o.date, o.value, m.friendly_name AS title, m.friendly_name, m.units, 'SRC' AS source
         FROM (SELECT *, row_number() OVER (PARTITION BY series_id, date
                                            ORDER BY date_trunc('second', run_timestamp) DESC, value DESC) AS rn
               FROM typed WHERE value IS NOT NULL) o
-        JOIN meta m ON o.series_id = m.series_id WHERE o.rn = 1"""),
+        JOIN meta m ON o.series_id = m.series_id WHERE o.rn = 1""")),
+    "k2_refused": ("obs typed", """
+        SELECT 'good' AS batch, CAST(0 AS BIGINT) AS broken, count(*) AS published FROM obs
+        UNION ALL SELECT 'bad', count(*) FILTER (WHERE value IS NULL), 0 FROM typed
+        UNION ALL SELECT 'filtered', -1, 0"""),
+    "k8_stream_quarantine": ("obs typed", """
+        SELECT series_id, date, value, CASE WHEN value IS NULL THEN 'value_not_null' ELSE '' END AS failed_rules FROM typed"""),
+    "a4_stream_evolution": ("obs typed", """
+        SELECT series_id, CASE WHEN run_timestamp < TIMESTAMP '2024-01-25' THEN series_name END AS series_name, date, value
+        FROM typed WHERE value IS NOT NULL"""),
+    "j5_late_run": ("obs", """
+        SELECT DISTINCT series_id, date, strftime(run_timestamp, '%Y-%m-%d %H:%M:%S') AS run FROM obs
+        UNION SELECT series_id, date, NULL FROM obs WHERE series_name = 'click'"""),
 }
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -378,6 +379,31 @@ def k2_fail_mode(spark, d):
     return rules.enforce(obs(spark, d).select("series_id", "date", "value"))
 
 
+def k2_refused(spark, d):
+    """Rows that break a rule and rows that are published: a good batch, a bad one, and a bad one with a later filter."""
+    rules = Expectations.not_null("series_id", "date", "value", mode="fail")
+    good, bad = (f(spark, d).select("series_id", "date", "value") for f in (obs, typed_obs))
+
+    def filtered() -> DataFrame:
+        return rules.enforce(bad).where("value < 10")
+
+    found = []
+    for case, rows in (("good", lambda: rules.gate(good)), ("bad", lambda: rules.gate(bad)), ("filtered", filtered)):
+        path = scratch_path(spark, f"k2_{case}")
+        try:
+            rows().write.parquet(path)
+            published = spark.read.parquet(path).count()
+        except quality.ExpectationError as error:
+            found.append((case, sum(error.broken.values()), 0))
+        except PySparkException as error:
+            if "expectation failed" not in str(error):
+                raise
+            found.append((case, -1, 0))
+        else:
+            found.append((case, 0, published))
+    return spark.createDataFrame(found, "batch string, broken bigint, published bigint")
+
+
 def k3_warn_mode(spark, d):
     return Expectations(_RULES, "warn").enforce(typed_obs(spark, d)).select("series_id", "date", "value")
 
@@ -474,6 +500,29 @@ def a4_schema_evolution(spark, d):
     return bronze.select("series_id", "series_name", "date", "value")
 
 
+def a4_stream_evolution(spark, d):
+    """Runs of three headers through all layers: full, reordered with one column more, and without names."""
+    root = scratch_path(spark, "a4stream")
+    layout = update.Layout(
+        root=root,
+        database="db_" + root.rsplit("-", 1)[-1],
+        landing_observations=f"{root}/landing/observations",
+        landing_metadata=f"{root}/landing/metadata",
+        source=SOURCE,
+        strict_header=False,
+    )
+    _land_metadata(spark, d, layout.landing_metadata)
+    early, late = _halves(_landing_rows(spark, d))
+    latest = F.col("run_timestamp") >= F.lit("2024-01-25")
+    reordered = late.filter(~latest).select("value", F.lit("x").alias("extra"), "date", "series_name", "series_id", "run_timestamp")
+    for number, part in enumerate((early, reordered)):
+        snapshots.save_csv(part, layout.landing_observations, "observations", _RUN + dt.timedelta(days=number))
+    update.run_update(spark, layout)
+    snapshots.save_csv(late.filter(latest).drop("series_name"), layout.landing_observations, "observations", _RUN + dt.timedelta(days=2))
+    update.run_update(spark, layout)
+    return _taken(spark, layout, "silver_observations").select("series_id", "series_name", "date", "value")
+
+
 def a5_load_by_pattern(spark, d):
     """Only the runs that fit the pattern are loaded, and a second load adds nothing."""
     root = scratch_path(spark, "a5")
@@ -569,6 +618,78 @@ def j9_stream_gold(spark, d):
     return _taken(spark, _updated(spark, d, "j9"), "gold_observations")
 
 
+def _later_half_first(spark, d, purpose: str, **options) -> update.Layout:
+    """The newer half of the runs lands and is drained first, the older one with its revisions later, at the same time."""
+    root = scratch_path(spark, purpose)
+    layout = update.Layout(
+        root=root,
+        database="db_" + root.rsplit("-", 1)[-1],
+        landing_observations=f"{root}/landing/observations",
+        landing_metadata=f"{root}/landing/metadata",
+        source=SOURCE,
+        as_of=AS_OF,
+        **options,
+    )
+    _land_metadata(spark, d, layout.landing_metadata)
+    early, late = _halves(_landing_rows(spark, d))
+    for number, part in enumerate((late, early)):
+        snapshots.save_csv(part, layout.landing_observations, "observations", _RUN + dt.timedelta(days=number))
+        update.run_update(spark, layout)
+    return layout
+
+
+def k8_stream_quarantine(spark, d):
+    """Two runs through all layers: kept and rejected rows of the silver flow, each with the rules it breaks."""
+    layout = _later_half_first(spark, d, "k8", keep_rejected=True)
+    path = layout.path("silver_observations")
+    spark.sql(f"DROP DATABASE {layout.database} CASCADE")
+    kept, rejected = (flows.read_sorted(spark, path, outcome) for outcome in (quality.KEPT, quality.REJECTED))
+    columns = ["series_id", "date", "value"]
+    return kept.select(*columns, F.lit("").alias("failed_rules")).unionByName(
+        rejected.select(*columns, F.array_join("failed_rules", ",").alias("failed_rules"))
+    )
+
+
+def j9_late_revision(spark, d):
+    """An older run that arrives late, audit times being equal: the view follows the batches, not counts and maxima."""
+    return _taken(spark, _later_half_first(spark, d, "j9late"), "gold_observations")
+
+
+def b5_incremental_view(spark, d):
+    """The same rows in a view that is refreshed by year: two updates, then a series is renamed, and renamed back."""
+    layout = _later_half_first(spark, d, "b5inc", gold="incremental")
+    for number, run in enumerate(("2024-02-02 08:00:00", "2024-02-03 08:00:00"), 1):
+        named = meta(spark, d).withColumns(
+            {
+                "run_timestamp": F.lit(run),
+                "title": F.concat(F.lit("Renamed " if number == 1 else ""), "friendly_name"),
+            }
+        )
+        text = [(F.col(n) if n in named.columns else F.lit("")).alias(n) for n in LANDING_METADATA.names]
+        few = named.where(F.col("series_id").cast("int") % 7 == 0).select(*text)
+        snapshots.save_json_lines(few, layout.landing_metadata, "series_metadata", _RUN + dt.timedelta(days=number))
+        update.run_update(spark, layout)
+    path = f"{layout.root}/taken"
+    spark.table(layout.table("gold_observations")).drop("period").write.parquet(path)
+    spark.sql(f"DROP DATABASE {layout.database} CASCADE")
+    return landing.read_table(spark, path)
+
+
+def j5_late_run(spark, d):
+    """The older half of the runs arrives after the newer one, and rows without a run time twice: each row stays once."""
+    root = scratch_path(spark, "j5late")
+    rows = _landing_rows(spark, d)
+    early, late = _halves(rows)
+    lost = rows.where(F.col("series_name") == "click").withColumn("run_timestamp", F.lit(""))
+    for number, part in enumerate((late.unionByName(lost), early, lost.unionByName(late))):
+        snapshots.save_csv(part, f"{root}/landing", "observations", _RUN + dt.timedelta(days=number))
+        stream = landing.stream_csv(spark, f"{root}/landing", LANDING_OBSERVATIONS)
+        flows.drain(flows.start_append_once(layers.bronze_observations(stream), f"{root}/bronze", f"{root}/checkpoint"))
+    return flows.read_once(spark, f"{root}/bronze").select(
+        "series_id", "date", P.format_timestamp("run_timestamp").alias("run")
+    )
+
+
 def j8_stream_metrics(spark, d):
     layout = _updated(spark, d, "j8")
     spark.sql(f"DROP DATABASE {layout.database} CASCADE")
@@ -660,6 +781,7 @@ _REGISTERED = (
     g3_first_n,
     k1_expect_or_drop,
     k2_fail_mode,
+    k2_refused,
     k3_warn_mode,
     k4_rule_metrics,
     k5_primary_key,
@@ -667,6 +789,7 @@ _REGISTERED = (
     k9_report,
     a3_inferred_schema,
     a4_schema_evolution,
+    a4_stream_evolution,
     a5_load_by_pattern,
     a11_landed_files,
     a13_payload_status,
@@ -682,6 +805,10 @@ _REGISTERED = (
     j6_stream_upsert,
     j8_stream_metrics,
     j9_stream_gold,
+    k8_stream_quarantine,
+    j9_late_revision,
+    b5_incremental_view,
+    j5_late_run,
 )
 
 

@@ -23,6 +23,9 @@ LAST_UPDATED_FORMATS = ("yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ssX")
 # A JVM double literal also allows suffixes (4.5d) and hexadecimal floats, which are not numbers in the files.
 _NUMBER = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity)$"
 
+# A cast also reads a bare time of day.
+_DATED = r"^\s*[0-9]{4,}-"
+
 # Unicode white space, as stripped from both ends of free text.
 _WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -93,7 +96,8 @@ def typed(column: Column, source: DataType, target: DataType) -> Column:
     if isinstance(source, StringType) and isinstance(target, IntegerType):
         return parse_int(F.trim(column))
     if isinstance(source, StringType) and isinstance(target, TimestampType):
-        return column.try_cast("timestamp")
+        # A time without a date would become that time of the current day.
+        return F.when(column.rlike(_DATED), column.try_cast("timestamp"))
     return column.try_cast(target)
 
 

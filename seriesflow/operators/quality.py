@@ -13,8 +13,21 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from seriesflow.session import scratch_path
+
 MODES = ("warn", "drop", "fail")
 
+FAILED_RULES, OUTCOME = "failed_rules", "_outcome"
+KEPT, REJECTED = "kept", "rejected"
+
+
+class ExpectationError(ValueError):
+    """A batch that breaks rules in fail mode; ``broken`` has the number of rows for each rule."""
+
+    def __init__(self, broken: Mapping[str, int]) -> None:
+        super().__init__("expectation failed: " + ", ".join(f"{rule} ({n} rows)" for rule, n in broken.items()))
+        self.broken = dict(broken)
+
 
 @dataclass(frozen=True)
 class Expectations:
@@ -50,7 +63,30 @@ class Expectations:
             # A filter drops NULL like false, so the bare predicates can reach the file scan.
             return df.filter(reduce(and_, map(F.expr, self.rules.values())))
         message = F.concat(F.lit("expectation failed: "), F.array_join(self.failed_rules(), ", "))
-        return df.filter(F.when(self.passes_all(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+        # Being non-deterministic, the check is a barrier: no later filter is moved below it, so it sees every row.
+        passed = self.passes_all() & (F.spark_partition_id() >= 0)
+        return df.filter(F.when(passed, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+    def gate(self, df: DataFrame) -> DataFrame:
+        """The rows of a batch, staged and counted in one pass; none are handed on if the mode is fail and one breaks a rule.
+
+        A filter raises only for rows that are asked for (``limit 1`` reads few). Here all rows are written to the
+        scratch folder first, so what is published afterwards has been checked as a whole. Other modes hand on what
+        :meth:`enforce` keeps.
+        """
+        spark, counted = df.sparkSession, Observation()
+        path = scratch_path(spark, "staged")
+        self.observe(df, counted).write.parquet(path)
+        broken = {r: counted.get[f"failed_{r}"] for r in self.rules if counted.get[f"failed_{r}"]}
+        if broken and self.mode == "fail":
+            raise ExpectationError(broken)
+        staged = spark.read.schema(df.schema).parquet(path)
+        return self.enforce(staged) if broken else staged
+
+    def sorted_out(self, df: DataFrame) -> DataFrame:
+        """All rows with the rules they break and ``_outcome``, kept or rejected; batch or stream."""
+        outcome = F.when(self.passes_all(), KEPT).otherwise(REJECTED)
+        return df.withColumns({FAILED_RULES: self.failed_rules(), OUTCOME: outcome})
 
     def _counts(self) -> list[Column]:
         failed = [F.count_if(~self.passes(r)).alias(f"failed_{r}") for r in self.rules]

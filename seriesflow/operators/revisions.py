@@ -55,8 +55,10 @@ def keep_first(
     keys: Sequence[str] = ("series_id", "date"),
     order_by: Sequence[str] = ("run_timestamp",),
 ) -> DataFrame:
-    """Duplicates on ``keys`` dropped, the first row in the stated order kept."""
-    return _one_per_key(df, keys, order_by, F.min)
+    """Duplicates on ``keys`` dropped, the first row in the stated order kept; a row without a run comes last."""
+    unknown = {f"_{c}_unknown": F.col(c).isNull() for c in order_by}
+    flagged = [x for c in order_by for x in (f"_{c}_unknown", c)]
+    return _one_per_key(df.withColumns(unknown), keys, flagged, F.min).drop(*unknown)
 
 
 def latest_dimension(

@@ -80,4 +80,9 @@ def gold_upserted(current: DataFrame, metadata: DataFrame, source: str) -> DataF
     return gold_join(current, _latest_series(metadata), source)
 
 
-GOLD_VIEWS = {"current": gold_current, "join": gold_join, "upserted": gold_upserted}
+def latest_series(metadata: DataFrame) -> DataFrame:
+    """What the gold view takes from the dimension: one row for each series, without its run."""
+    return _latest_series(metadata).drop("run_timestamp")
+
+
+GOLD_VIEWS = {"current": gold_current, "join": gold_join, "upserted": gold_upserted, "incremental": gold_upserted}

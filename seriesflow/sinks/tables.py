@@ -38,9 +38,12 @@ def create_table(
     comment: str = "",
     properties: Mapping[str, str] | None = None,
     if_not_exists: bool = True,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """An external parquet table with comments and properties."""
     statement = f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{table} ({_columns(schema)}) USING parquet"
+    if options:
+        statement += f" OPTIONS ({_properties(options)})"
     statement += f" LOCATION {quoted(path)}"
     if comment:
         statement += f" COMMENT {quoted(comment)}"
@@ -49,8 +52,10 @@ def create_table(
     spark.sql(statement)
 
 
-def create_from_spec(spark: SparkSession, table: str, spec: TableSpec, path: str) -> None:
-    create_table(spark, table, spec.schema, path, spec.comment, spec.properties)
+def create_from_spec(
+    spark: SparkSession, table: str, spec: TableSpec, path: str, options: Mapping[str, str] | None = None
+) -> None:
+    create_table(spark, table, spec.schema, path, spec.comment, spec.properties, options=options)
 
 
 def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
@@ -139,6 +144,60 @@ def refresh(
     return path
 
 
+def partition_location(spark: SparkSession, table: str, by: str, value: str) -> str | None:
+    """Folder of one partition, None if the table lacks it."""
+    there = spark.sql(f"SHOW PARTITIONS {table} PARTITION (`{by}` = {quoted(value)})")
+    if there.isEmpty():
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (`{by}` = {quoted(value)})")
+    return described.filter("col_name = 'Location'").first()["data_type"]
+
+
+def refresh_partitions(
+    df: DataFrame,
+    table: str,
+    root: str,
+    by: str,
+    values: Sequence[str],
+    comment: str = "",
+    properties: Mapping[str, str] | None = None,
+    schema: StructType | None = None,
+) -> None:
+    """Refresh of those partitions of a materialized view whose ``by`` is one of ``values``; the others stay as they are.
+
+    The new rows of a partition go to the one of its two folders that is not in use, and its location moves only when
+    all are complete. A failed refresh changes nothing, or leaves some partitions new and the others old; the next
+    one takes the folder that the catalog does not name. A value without rows loses its partition. ``values`` are
+    few, such as calendar periods; ``df`` ends with ``by`` and may read the table.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        columns = StructType([*(schema or df.drop(by).schema).fields])
+        statement = f"CREATE TABLE {table} ({_columns(columns)}, `{by}` STRING) USING parquet PARTITIONED BY (`{by}`)"
+        statement += f" LOCATION {quoted(f'{root.rstrip("/")}/t0')} COMMENT {quoted(comment)}"
+        spark.sql(statement)
+    live = {value: partition_location(spark, table, by, value) for value in values}
+    home = {v: f"{root.rstrip('/')}/t{int(bool(at) and at.rstrip('/').rsplit('/', 2)[-2] == 't0')}" for v, at in live.items()}
+    chosen = df.where(F.col(by).isin(list(values)))
+    filled = {r[0] for r in chosen.select(by).distinct().collect()}
+    for folder in sorted(set(home.values())):
+        own = [v for v in values if home[v] == folder]
+        rows = chosen.where(F.col(by).isin(own))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(folder)
+    for value in values:
+        spec = f"PARTITION (`{by}` = {quoted(value)})"
+        at = quoted(f"{home[value]}/{by}={value}")
+        if value not in filled:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+        elif live[value] is None:
+            spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION {at}")
+        else:
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {at}")
+    if properties:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_properties(properties)})")
+    spark.catalog.refreshTable(table)
+
+
 def compact(spark: SparkSession, table: str, root: str, by: Sequence[str] = ()) -> str:
     """Rewrite a table into well-sized files (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
 

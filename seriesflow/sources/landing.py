@@ -19,14 +19,15 @@ CORRUPT_COLUMN = "_corrupt_record"
 _KEEP_ALL_FILES = {"maxFileAge": "36500d"}
 
 # Landing CSV doubles a quote inside a quoted field.
-_CSV = {"header": "true", "escape": '"'}
+CSV = {"header": "true", "escape": '"'}
 
 
 # Runs land in folders of their own; folders whose name starts with an underscore are never data.
-_RUN_FOLDERS = {"recursiveFileLookup": "true"}
+RUN_FOLDERS = {"recursiveFileLookup": "true"}
 
 
-def _stream(spark: SparkSession, schema: StructType, limits: dict[str, str] | None):
+def streaming(spark: SparkSession, schema: StructType | str, limits: dict[str, str] | None):
+    """A stream reader of files; none is skipped for its age."""
     reader = spark.readStream.schema(schema).options(**_KEEP_ALL_FILES)
     return reader.options(**(limits or {}))
 
@@ -37,15 +38,14 @@ def stream_csv(
     schema: StructType,
     pattern: str | None = None,
     limits: dict[str, str] | None = None,
-    strict_header: bool = True,
 ) -> DataFrame:
     """Incremental CSV source with a header line, files and run folders below ``path`` (which may be a glob).
 
-    CSV columns go by position. ``strict_header`` stops the stream when a header differs from ``schema``,
-    rather than shifting values into wrong columns; without it, columns added or missing at the end of a
-    file are ignored or NULL. ``limits`` takes ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
+    CSV columns go by position, so a header that differs from ``schema`` stops the stream, rather than shifting
+    values into wrong columns; :mod:`seriesflow.streaming.named_csv` takes any header. ``limits`` takes
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
     """
-    reader = _stream(spark, schema, limits).options(**_CSV, **_RUN_FOLDERS).option("enforceSchema", not strict_header)
+    reader = streaming(spark, schema, limits).options(**CSV, **RUN_FOLDERS).option("enforceSchema", False)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.csv(path)
@@ -65,7 +65,7 @@ def stream_json(
     """
     if corrupt_column:
         schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
-    reader = _stream(spark, schema, limits).options(**_RUN_FOLDERS).option("mode", "PERMISSIVE")
+    reader = streaming(spark, schema, limits).options(**RUN_FOLDERS).option("mode", "PERMISSIVE")
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if pattern:
@@ -74,10 +74,11 @@ def stream_json(
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema: StructType, limits: dict[str, str] | None = None
+    spark: SparkSession, path: str, schema: StructType, limits: dict[str, str] | None = None, nested: bool = False
 ) -> DataFrame:
-    """Stream the rows that an upstream append flow commits."""
-    return _stream(spark, schema, limits).parquet(path)
+    """Stream the rows that an upstream append flow commits; ``nested`` where it has a folder for each batch."""
+    reader = streaming(spark, schema, limits)
+    return (reader.options(**RUN_FOLDERS) if nested else reader).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -86,7 +87,7 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
 
 def read_csv_runs(spark: SparkSession, paths: Sequence[str], schema: StructType) -> DataFrame:
     """Batch read by column name: every path with its own header, missing columns NULL, extra ones dropped."""
-    frames = [spark.read.options(**_CSV).csv(p) for p in paths]
+    frames = [spark.read.options(**CSV).csv(p) for p in paths]
     kept = [df.select(*(c for c in schema.names if c in df.columns)) for df in frames]
     empty = spark.createDataFrame([], schema)
     return concat([empty, *kept]).select(*schema.names)
@@ -94,7 +95,7 @@ def read_csv_runs(spark: SparkSession, paths: Sequence[str], schema: StructType)
 
 def infer_csv_schema(spark: SparkSession, sample: str | list[str], ratio: float = 1.0) -> StructType:
     """Column types of landed CSV files, from a sample of files or rows."""
-    reader = spark.read.options(**_CSV).option("inferSchema", True).option("samplingRatio", ratio)
+    reader = spark.read.options(**CSV).option("inferSchema", True).option("samplingRatio", ratio)
     return reader.csv(sample).schema
 
 

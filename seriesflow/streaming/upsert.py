@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from seriesflow.operators.revisions import latest_wins
 from seriesflow.session import path_exists
 
+TOUCHED = "touched"
+
 _PERIOD_FORMATS = {"year": "yyyy", "month": "yyyy-MM"}
 
 
@@ -29,6 +31,7 @@ def upserter(
     order_by: Sequence[str] = ("run_timestamp",),
     date: str = "date",
     period: str = "year",
+    notes: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: latest run wins, whatever order runs arrive in.
 
@@ -36,7 +39,7 @@ def upserter(
     ``staging``, then replace those partitions of ``target``. A batch that is replayed after a crash in
     between takes the staged rows again instead of reading a half-replaced target. The merge is idempotent
     and does not depend on order, so any other replay is harmless, too. Two staging folders take turns, so
-    nothing piles up.
+    nothing piles up. ``notes`` is a folder for the periods of each batch, see :func:`touched_since`.
     """
     part = f"_{period}"
     period_of = F.date_format(F.col(date), _PERIOD_FORMATS[period])
@@ -56,6 +59,9 @@ def upserter(
                     touched = touched | F.col(part).isNull()
                 merged = incoming.unionByName(present.filter(touched))
             merged = latest_wins(merged, keys, order_by).withColumn("_batch_id", F.lit(batch_id))
+            if notes:
+                # Noted first: a batch that is found staged has been noted.
+                note_touched(incoming, notes, part, batch_id)
             merged.write.mode("overwrite").parquet(staged)
         rows = spark.read.parquet(staged).drop("_batch_id")
         rows.hint("rebalance", part).sortWithinPartitions(part, *keys).write.mode("overwrite").option(
@@ -65,6 +71,21 @@ def upserter(
     return upsert
 
 
+def note_touched(incoming: DataFrame, path: str, part: str, batch_id: int) -> None:
+    """Keep the periods of a batch as rows; a replayed batch replaces its own."""
+    periods = incoming.select(F.col(part).alias("period")).distinct()
+    periods.coalesce(1).write.mode("overwrite").parquet(f"{path}/_batch={batch_id}")
+
+
+def touched_since(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str | None]:
+    """Periods that the batches after ``batch_id`` of an upsert flow brought rows for: bounded by the calendar."""
+    path = f"{checkpoint.rstrip('/')}/{TOUCHED}"
+    if not path_exists(spark, path):
+        return []
+    noted = spark.read.schema("period string, _batch bigint").parquet(path)
+    return [r[0] for r in noted.where(F.col("_batch") > batch_id).select("period").distinct().orderBy("period").collect()]
+
+
 def start_upsert(
     df: DataFrame,
     target: str,
@@ -78,7 +99,7 @@ def start_upsert(
     ``then`` is called after each merged batch.
     """
     checkpoint = checkpoint.rstrip("/")
-    upsert = upserter(target, f"{checkpoint}/staged", **options)
+    upsert = upserter(target, f"{checkpoint}/staged", notes=f"{checkpoint}/{TOUCHED}", **options)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         upsert(batch, batch_id)

@@ -9,7 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from seriesflow.operators import checks, joins, quality, resample, revisions
-from seriesflow.operators.quality import Expectations
+from seriesflow.operators.quality import ExpectationError, Expectations
 from seriesflow.plans import layers
 from seriesflow.sources import catalog
 
@@ -116,6 +116,32 @@ def test_fail_mode(spark):
         rules.enforce(spark.createDataFrame(DATA, RULED)).count()
 
 
+def test_no_filter_gets_behind_the_check(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS value").write.parquet(f"{tmp_path}/t")
+    rules = Expectations({"small": "value < 900"}, "fail")
+    for late in ("value < 10", "value IS NULL"):
+        with pytest.raises(PySparkException, match="expectation failed: small"):
+            rules.enforce(spark.read.parquet(f"{tmp_path}/t")).filter(late).collect()
+    assert rules.enforce(spark.range(900).selectExpr("id AS value")).filter("value < 10").count() == 10
+
+
+def test_gate(spark):
+    df = spark.range(1000).selectExpr("id AS value")
+    rules = {"small": "value < 900", "any": "value IS NOT NULL"}
+    with pytest.raises(ExpectationError) as error:
+        Expectations(rules, "fail").gate(df)
+    assert error.value.broken == {"small": 100}
+    assert Expectations(rules, "fail").gate(df.where("value < 900")).count() == 900
+    assert Expectations(rules, "drop").gate(df).count() == 900
+    assert Expectations(rules, "warn").gate(df).count() == 1000
+    assert Expectations({}, "fail").gate(df).count() == 1000
+
+
+def test_a_row_without_a_run_is_not_the_first(spark, rows):
+    df = spark.createDataFrame([("A", 1, None, 3.0), ("A", 1, 5, 2.0), ("B", 1, None, 1.0)], "series_id string, date int, run_timestamp int, value double")
+    assert rows(revisions.keep_first(df)) == [("A", 1, 5, 2.0), ("B", 1, None, 1.0)]
+
+
 def test_unknown_mode():
     with pytest.raises(ValueError):
         Expectations({}, "ignore")

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from seriesflow.functions import parsing as P
 from seriesflow.schemas import BRONZE_OBSERVATIONS
@@ -29,6 +29,15 @@ def test_dates(parse):
     assert parse(texts, P.parse_date) == days + [None] * 4
 
 
+def test_a_time_of_day_is_no_run(parse):
+    def typed(column):
+        return P.typed(column, StringType(), TimestampType())
+
+    assert parse(["12:30", "T12:30", " 08:00:00 ", "2024-12-10 08:00:00", " 2024-12-10"], typed) == [
+        None, None, None, dt.datetime(2024, 12, 10, 8), dt.datetime(2024, 12, 10)
+    ]
+
+
 def test_values(parse):
     assert parse(["4.75", "0.0", "-1.5", "100.12345", "1e3", " 7 ", "5."], P.parse_double) == [
         4.75,

@@ -15,7 +15,7 @@ from seriesflow.plans import layers, update
 from seriesflow.schemas import BRONZE_OBSERVATIONS, LANDING_METADATA, LANDING_OBSERVATIONS
 from seriesflow.sinks import tables
 from seriesflow.sources import landing
-from seriesflow.streaming import flows, metrics, upsert
+from seriesflow.streaming import flows, metrics, named_csv, upsert
 
 HEADER = ",".join(LANDING_OBSERVATIONS.names)
 
@@ -105,11 +105,76 @@ def test_other_header_stops_the_stream(spark, files, tmp_path):
         _bronze(spark, files, tmp_path)
 
 
-def test_columns_at_the_end(spark, files, tmp_path, rows):
-    files.land("extra", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5,x", header=HEADER + ",extra")
-    files.land("missing", "2024-12-10 08:00:00,DFF,Fed,2024-12-02", header=HEADER.removesuffix(",value"))
-    found = _bronze(spark, files, tmp_path, strict_header=False)
-    assert rows(found, F.col("date").cast("string"), "value") == [("2024-12-01", 4.5), ("2024-12-02", None)]
+def _named(spark, files, tmp_path, **options):
+    query = named_csv.start_named_csv(
+        spark, str(files.observations), f"{tmp_path}/bronze", f"{tmp_path}/cp", LANDING_OBSERVATIONS,
+        lambda rows: rows, required=("series_id", "date"), **options,
+    )
+    flows.drain(query)
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/bronze")
+
+
+def test_columns_go_by_name(spark, files, tmp_path, rows):
+    files.land("plain", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5")
+    files.land("extra", '2024-12-10 08:00:00,DFF,"Fed, the",2024-12-02,4.6,x,y', header=HEADER + ",note,flag")
+    files.land("missing a+b %41", "2024-12-10 08:00:00,DFF,Fed,2024-12-03", header=HEADER.removesuffix(",value"))
+    files.land("swapped", "4.8,2024-12-04,Fed,DFF,2024-12-10 08:00:00", header="value,date,series_name,series_id,run_timestamp")
+    (files.observations / "empty.csv").write_text("")
+    files.land("nothing")
+    found = _named(spark, files, tmp_path, extra="extra_columns")
+    assert rows(found, "date", "value", "series_id", "series_name", "extra_columns") == [
+        ("2024-12-01", "4.5", "DFF", "Fed", None),
+        ("2024-12-02", "4.6", "DFF", "Fed, the", '{"note":"x","flag":"y"}'),
+        ("2024-12-03", None, "DFF", "Fed", None),
+        ("2024-12-04", "4.8", "DFF", "Fed", None),
+    ]
+    files.land("late", "2024-12-05,DFF", header="date,series_id")
+    assert _named(spark, files, tmp_path, extra="extra_columns").count() == 5
+    seen = {tuple(r["columns"]): r for r in named_csv.seen_headers(spark, f"{tmp_path}/cp").collect()}
+    full = tuple(LANDING_OBSERVATIONS.names)
+    assert {k: (r["files"], r["first_batch"]) for k, r in seen.items()} == {
+        full: (2, 0), (*full, "note", "flag"): (1, 0), full[:-1]: (1, 0), ("date", "series_id"): (1, 1),
+        ("value", "date", "series_name", "series_id", "run_timestamp"): (1, 0),
+    }
+    assert seen[(*full, "note", "flag")]["added"] == ["note", "flag"] and seen[full[:-1]]["missing"] == ["value"]
+
+
+def test_a_file_without_the_key_columns_stops_the_flow(spark, files, tmp_path):
+    files.land("headless", "2024-12-10 08:00:00,DFF,Fed,2024-12-02,4.5", header="2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5")
+    with pytest.raises(PySparkException, match="no column series_id, date"):
+        _named(spark, files, tmp_path)
+    assert not (tmp_path / "bronze").exists()
+
+
+def test_broken_csv_lines(spark, files, tmp_path, rows):
+    files.land("a", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5", "2024-12-10 08:00:00,DFF,Fed", "1,2,3,4,5,6,7")
+    found = _named(spark, files, tmp_path, corrupt=landing.CORRUPT_COLUMN)
+    assert rows(found.where(f"{landing.CORRUPT_COLUMN} IS NULL"), "value") == [("4.5",)]
+    assert rows(found.where(f"{landing.CORRUPT_COLUMN} IS NOT NULL"), landing.CORRUPT_COLUMN) == [
+        ("1,2,3,4,5,6,7",), ("2024-12-10 08:00:00,DFF,Fed",)
+    ]
+
+
+def test_many_small_batches_by_name(spark, files, tmp_path):
+    for i in range(4):
+        files.land(f"f{i}", f"2024-12-10 08:00:00,DFF,Fed,2024-12-0{i + 1},4.5")
+    found = _named(spark, files, tmp_path, limits={"maxFilesPerTrigger": "1"})
+    assert found.count() == 4 and len(list((tmp_path / "bronze").glob("batch-*"))) == 4
+
+
+def test_rows_are_appended_once(spark, tmp_path, rows):
+    columns = "series_id string, date date, run_timestamp timestamp, value double"
+    run, other = dt.datetime(2024, 12, 10), dt.datetime(2019, 1, 1)
+    day, early = dt.date(2024, 12, 1), dt.date(2018, 5, 1)
+    first = spark.createDataFrame([("A", day, run, 1.0), ("A", day, None, 2.0), ("A", day, None, 2.0)], columns)
+    late = spark.createDataFrame([("A", early, other, 3.0), ("A", day, run, 1.0), (None, None, run, 4.0)], columns)
+    again = spark.createDataFrame([("A", day, None, 2.0), (None, None, run, 4.0), ("B", early, other, 5.0)], columns)
+    append = flows.appender_once(f"{tmp_path}/t")
+    for number, batch in enumerate((first, late, again)):
+        append(batch, number)
+        append(batch, number)  # replayed
+    found = flows.read_once(spark, f"{tmp_path}/t").select("series_id", "value")
+    assert rows(found) == [("A", 1.0), ("A", 2.0), ("A", 3.0), ("B", 5.0), (None, 4.0)]
 
 
 def test_broken_json_lines(spark, files, tmp_path):
@@ -255,6 +320,99 @@ def test_upserted_view_is_the_current_view(spark, files, layout, rows):
     assert rows(gold) == rows(layers.gold_current(*silver, "SRC"))
 
 
+def test_the_view_follows_the_batches(spark, files, layout, rows):
+    """A revision that changes neither a count nor a maximum of the inputs still reaches the view."""
+    from dataclasses import replace
+
+    layout = replace(layout, as_of="2024-12-11")
+    files.land("b", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5")
+    files.describe("b", {"series_id": "DFF"})
+    assert update.run_update(spark, layout)
+    before = update.input_version(spark, layout)
+    assert not update.run_update(spark, layout) and update.input_version(spark, layout) == before
+    files.land("a", "2024-12-09 08:00:00,DFF,Fed,2024-11-01,4.4")
+    assert update.run_update(spark, layout) and update.input_version(spark, layout) != before
+    assert rows(spark.table(layout.table("gold_observations")), "value") == [(4.4,), (4.5,)]
+
+
+def _places(spark, layout):
+    table = layout.table("gold_observations")
+    found = {}
+    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        year = r[0].partition("=")[2]
+        found[year] = tables.partition_location(spark, table, "period", year).rsplit("/", 2)[-2]
+    return found
+
+
+def test_incremental_view(spark, files, layout, rows):
+    from dataclasses import replace
+
+    layout = replace(layout, gold="incremental")
+    files.land("a", *(f"2024-12-10 08:00:00,{s},N,{y}-12-01,{y}" for s in ("DFF", "SOFR") for y in (2021, 2022, 2023)))
+    files.describe("a", {"series_id": "DFF"}, {"series_id": "SOFR"})
+    assert update.run_update(spark, layout)
+    assert _places(spark, layout) == {"2021": "t0", "2022": "t0", "2023": "t0"}
+    files.land("b", "2024-12-11 08:00:00,DFF,N,2022-12-01,7")
+    assert update.run_update(spark, layout)
+    assert _places(spark, layout) == {"2021": "t0", "2022": "t1", "2023": "t0"}
+    # A series of its own year gets another title, then one that all years have.
+    files.land("c", "2024-12-12 08:00:00,NEW,N,2019-12-01,1")
+    files.describe("c", {"series_id": "NEW"}, run="2024-12-12 08:00:00")
+    assert update.run_update(spark, layout)
+    files.describe("d", {"series_id": "NEW", "title": "Second"}, run="2024-12-13 08:00:00")
+    assert update.run_update(spark, layout)
+    assert _places(spark, layout) == {"2019": "t1", "2021": "t0", "2022": "t1", "2023": "t0"}
+    files.describe("e", {"series_id": "DFF", "title": "Other"}, run="2024-12-14 08:00:00")
+    assert update.run_update(spark, layout) and not update.run_update(spark, layout)
+    assert _places(spark, layout) == {"2019": "t1", "2021": "t1", "2022": "t0", "2023": "t1"}
+    table = layout.table("gold_observations")
+    silver = [spark.table(layout.table(t)) for t in ("silver_observations", "silver_metadata")]
+    assert rows(spark.table(table).drop("period")) == rows(layers.gold_current(*silver, "SRC"))
+    # Another kind of view over the same inputs, and back.
+    assert update.refresh_gold(spark, replace(layout, gold="current"))
+    assert rows(spark.table(table)) == rows(layers.gold_current(*silver, "SRC"))
+    assert update.refresh_gold(spark, layout)
+    assert rows(spark.table(table).drop("period")) == rows(layers.gold_current(*silver, "SRC"))
+
+
+def test_partitions_without_rows_go(spark, tmp_path, rows):
+    table = f"parts_{uuid.uuid4().hex}"
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "x int, p string")
+    tables.refresh_partitions(first, table, f"{tmp_path}/t", "p", ["a", "b"])
+    tables.refresh_partitions(first.where("p = 'a'").withColumn("x", F.lit(5)), table, f"{tmp_path}/t", "p", ["a", "b"])
+    assert rows(spark.table(table)) == [(5, "a")]
+    tables.refresh_partitions(first, table, f"{tmp_path}/t", "p", ["b"])
+    assert rows(spark.table(table)) == [(2, "b"), (5, "a")]
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_rejected_rows_are_kept(spark, files, layout, rows):
+    from dataclasses import replace
+
+    layout = replace(layout, keep_rejected=True)
+    assert not spark.catalog.databaseExists(layout.database)
+    update.run_update(spark, layout)  # nothing has landed
+    _first_run(files)
+    assert update.run_update(spark, layout)
+    read = spark.table(layout.table("bronze_observations")).count()
+    kept = spark.table(layout.table("silver_observations"))
+    rejected = spark.table(layout.table("silver_observations_rejected"))
+    assert kept.columns == layers.TABLES["silver_observations"].schema.names
+    assert kept.count() + rejected.count() == read and rejected.count() > 0
+    named = rejected.select(F.explode("failed_rules").alias("rule")).groupBy("rule").count()
+    counted = {(f, r): n for f, r, n, _ in rows(metrics.read_metrics(spark, layout.metrics))}
+    assert {(r["rule"], r["count"]) for r in named.collect()} == {
+        (r, n) for (f, r), n in counted.items() if f == "silver_observations" and n
+    }
+    assert not update.run_update(spark, layout)
+    assert spark.table(layout.table("silver_observations_rejected")).count() == rejected.count()
+    dropped = replace(layout, keep_rejected=False, root=f"{layout.root}2", database=layout.database + "2")
+    update.run_update(spark, dropped)
+    gold = [rows(spark.table(x.table("gold_observations"))) for x in (layout, dropped)]
+    spark.sql(f"DROP DATABASE {dropped.database} CASCADE")
+    assert gold[0] == gold[1]
+
+
 def test_batch_and_stream_agree(spark, files, layout, rows):
     _first_run(files)
     update.run_update(spark, layout)

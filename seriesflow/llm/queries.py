@@ -142,6 +142,22 @@ _REGISTERED = (
 )
 
 
+#: Queries whose result SQL can't express; each has a test against brute force, an exact round trip or held-out labels.
+WITHOUT_SQL = frozenset(
+    {
+        "op1_language_id",
+        "op3_near_duplicates",
+        "op4_bpe",
+        "op6_token_counts",
+        "op7_embeddings",
+        "op10_suffix_dedup",
+        "op11_periodic_runs",
+        "op12_alignment",
+        "pipeline",
+    }
+)
+
+
 def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -155,6 +171,7 @@ def _configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline  # it imports this module
+    """All queries; ``corpus_pipeline`` imports this module, so it is imported here."""
+    import corpus_pipeline
 
     return {query.__name__: _configured(query) for query in _REGISTERED} | {"pipeline": _configured(corpus_pipeline.run)}

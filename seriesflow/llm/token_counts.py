@@ -89,13 +89,15 @@ def count_tokens(
         dictionary.where(F.length("piece") <= HEAD_CHARS).orderBy(F.desc("count"), "piece").limit(HEAD).select("piece", "n")
     )
     head = materialize(spark, head, "head")
-    rows = known.select(
+    # What the whole text says is taken before its pieces become rows: above, it would be worked out for each piece.
+    cut = known.select(
         ROW,
         "doc_id",
         F.octet_length("text").cast("long").alias("n_bytes"),
         specials(F.col("text")).alias("special"),
-        F.explode_outer(pretokens(F.col("text"))).alias("piece"),
+        pretokens(F.col("text")).alias("pieces"),
     )
+    rows = cut.select(ROW, "doc_id", "n_bytes", "special", F.explode_outer("pieces").alias("piece"))
     summed = (
         rows.join(F.broadcast(head), "piece", "left")
         .groupBy(ROW, "doc_id", "n_bytes", "special", F.expr("if(n IS NULL, piece, NULL)").alias("rare"))

@@ -1,12 +1,12 @@
 """Removal of repeated byte strings with a hash-compared suffix sort.
 
 A byte goes if a string of ``SPAN`` bytes that covers it starts anywhere else, too. Every string of ``SPAN`` bytes is
-given to one anchor: the substring of ``CORE`` bytes in it with the smallest hash. Equal strings have equal anchors at
-equal places, so only suffixes that start at equal anchors need be compared, and the strings of an anchor form one
-region of the text.
+given to one anchor: the leftmost substring of ``CORE`` bytes in it with the smallest hash. That depends on the
+string alone, so equal strings have equal anchors at equal places; only suffixes that start at equal anchors need be compared, and the strings of an anchor form one region of the text.
 
 1. Each document gives its anchors with the hashes of core and region. Cores that occur once are done.
 2. Regions that occur twice or more are repeated as a whole; counting hashes finds them, however often they occur.
+   A region counts as equal by 192 bits: the hash of its core and an independent one of 128 bits of all its bytes.
 3. Regions that occur once, though their core is repeated, lie at the edge of a repeated passage. They and one
    example of every repeated region of their core are sorted by the bytes from the core on, and by the bytes before
    it read backwards. The sort is a merge sort whose comparisons find the length of the common extension by binary
@@ -37,7 +37,7 @@ SPAN, CORE = 200, 40
 STARTS = SPAN - CORE + 1
 #: Most different regions of a core that are sorted in one task.
 MOST = 20_000
-#: Bytes of documents whose anchors are found together; a longer document is one batch.
+#: Bytes of documents whose anchors are found together.
 PART = 1 << 21
 
 _U = np.uint64
@@ -76,53 +76,56 @@ class PrefixHashes:
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """For each anchor: place of its text, first start, number of starts, offset of the core from the first start,
-    hash of the core, hash of the region."""
+    hash of the core, both halves of the hash of the region."""
     import xxhash
 
     sizes = np.array([len(t) for t in texts], np.int64)
     data = b"".join(texts)
     none = np.zeros(0, np.int64)
     if len(data) < SPAN:
-        return (none,) * 6
+        return (none,) * 7
     hashes = PrefixHashes(np.frombuffer(data, np.uint8)).cores(CORE)
     hashes = mix(hashes)
-    bits = _U(max(1, len(data).bit_length()))
-    low = hashes >> bits << bits | np.arange(len(hashes), dtype=np.uint64)
+    # The leftmost core with the smallest hash of each string: what else is in the batch has no say in it.
+    low, core = hashes, np.arange(len(hashes))
     width = 1
-    while width * 2 <= STARTS:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    if width < STARTS:
-        rest = STARTS - width
-        low = np.minimum(low[:-rest], low[rest:])
-    core = (low & ((_U(1) << bits) - _U(1))).astype(np.int64)
+    while width < STARTS:
+        shift = min(width, STARTS - width)
+        later = low[shift:] < low[:-shift]
+        low, core = np.where(later, low[shift:], low[:-shift]), np.where(later, core[shift:], core[:-shift])
+        width += shift
     ends = np.cumsum(sizes)
     owner = np.repeat(np.arange(len(texts)), sizes)[: len(core)]
     start = np.arange(len(core))
     inside = start + SPAN <= ends[owner]
     start, core, owner = start[inside], core[inside], owner[inside]
     if not len(start):
-        return (none,) * 6
+        return (none,) * 7
     new = np.flatnonzero(np.r_[True, (core[1:] != core[:-1]) | (owner[1:] != owner[:-1])])
     first, count, core, owner = start[new], np.diff(np.r_[new, len(start)]), core[new], owner[new]
     offset = core - first
-    digest = xxhash.xxh3_64_intdigest
-    regions = np.array(
-        [digest(data[s : s + n], o) for s, n, o in zip(first.tolist(), (count + SPAN - 1).tolist(), offset.tolist(), strict=True)],
-        np.uint64,
-    )
-    return owner, first - (ends - sizes)[owner], count, offset, hashes[core].view(np.int64), regions.view(np.int64)
-
-
-def _batched(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    begin, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > PART:
-            yield begin, texts[begin:i]
-            begin, size = i, 0
-        size += len(t)
-    if begin < len(texts):
-        yield begin, texts[begin:]
+    digest = xxhash.xxh3_128_digest
+    regions = np.frombuffer(
+        b"".join(digest(data[s : s + n], o) for s, n, o in zip(first.tolist(), (count + SPAN - 1).tolist(), offset.tolist(), strict=True)),
+        np.int64,
+    ).reshape(-1, 2)
+    return owner, first - (ends - sizes)[owner], count, offset, hashes[core].view(np.int64), regions[:, 0], regions[:, 1]
+
+
+def _batched(rows: list[int], texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Rows, offsets and bytes of some ``PART`` bytes; a longer text comes in pieces that share ``SPAN`` - 1 bytes."""
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+    for row, text in zip(rows, texts, strict=True):
+        for at in range(0, max(1, len(text) - SPAN + 1), PART):
+            piece = text[at : at + PART + SPAN - 1]
+            if held and size + len(piece) > PART + SPAN:
+                yield np.array([h[0] for h in held]), np.array([h[1] for h in held]), [h[2] for h in held]
+                held, size = [], 0
+            held.append((row, at, piece))
+            size += len(piece)
+    if held:
+        yield np.array([h[0] for h in held]), np.array([h[1] for h in held]), [h[2] for h in held]
 
 
 # Place of a region in its document: first start, number of starts and offset of the core in one number.
@@ -136,11 +139,11 @@ def _unpack(place: int) -> tuple[int, int, int]:
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = batch.column(ROW).to_numpy()
-        for begin, part in _batched([(t or "").encode() for t in batch.column("text").to_pylist()]):
-            owner, first, count, offset, core, region = anchors(part)
-            arrays = [rows[begin + owner], _pack(first, count, offset), core, region]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], [ROW, "place", "core", "region"])
+        texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+        for rows, at, part in _batched(batch.column(ROW).to_pylist(), texts):
+            owner, first, count, offset, core, region, check = anchors(part)
+            arrays = [rows[owner], _pack(at[owner] + first, count, offset), core, region, check]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], [ROW, "place", "core", "region", "check"])
 
 
 def _flat(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -298,12 +301,12 @@ def _string_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def covered(spark: SparkSession, docs: DataFrame, most: int = MOST) -> DataFrame:
     """``(__row, start, stop)``: byte ranges that repeated strings cover, for ``docs`` with ``__row`` and ``text``."""
-    rows = docs.select(ROW, "text").mapInArrow(_anchor_rows, f"{ROW} bigint, place bigint, core bigint, region bigint")
+    rows = docs.select(ROW, "text").mapInArrow(_anchor_rows, f"{ROW} bigint, place bigint, core bigint, region bigint, check bigint")
     repeated = rows.groupBy("core").agg(F.count("*").alias("times")).where("times > 1").select("core")
     met = materialize(spark, rows.join(repeated, "core"), "anchors")
-    kinds = met.groupBy("core", "region").agg(F.count("*").alias("n"), F.min(F.struct(ROW, "place")).alias("example"))
+    kinds = met.groupBy("core", "region", "check").agg(F.count("*").alias("n"), F.min(F.struct(ROW, "place")).alias("example"))
     kinds = materialize(spark, kinds, "regions")
-    whole = met.join(kinds.where("n > 1").select("core", "region"), ["core", "region"]).selectExpr(
+    whole = met.join(kinds.where("n > 1").select("core", "region", "check"), ["core", "region", "check"]).selectExpr(
         ROW, "shiftright(place, 16) AS start", f"shiftright(place, 16) + (shiftright(place, 8) & 255) + {SPAN - 1} AS stop"
     )
     mixed = kinds.groupBy("core").agg(F.count("*").alias("d"), F.min("n").alias("least")).where("d > 1 AND least = 1").select("core", "d")

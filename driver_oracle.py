@@ -256,6 +256,34 @@ _STATEMENTS = {
                                            ORDER BY date_trunc('second', run_timestamp) DESC, value DESC) AS rn
               FROM typed WHERE value IS NOT NULL) o
         JOIN meta m ON o.series_id = m.series_id WHERE o.rn = 1""")),
+    "a8_large_response": ("obs typed cat", """
+        SELECT '2024-02-01 08:00:00' AS run_timestamp, t.series_name AS series_id,
+               CASE t.series_name WHEN 'error' THEN 'Errors' ELSE c.friendly_name END AS series_name, t.date, t.value
+        FROM typed t LEFT JOIN cat c ON t.series_name = c.series_id
+        WHERE (c.series_id IS NOT NULL OR t.series_name = 'error') AND t.date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'"""),
+    "a11_landed_rows": ("obs", """
+        SELECT CASE WHEN run_timestamp < TIMESTAMP '2024-01-15' THEN 'early' ELSE 'late' END AS run,
+               count(*) AS "rows", TRUE AS has_bytes FROM obs GROUP BY 1"""),
+    "a13_fetch_metadata": ("bmeta", """
+        SELECT '2024-02-01 08:00:00' AS run_timestamp, series_id, 'Part ' || series_id AS friendly_name, title, units,
+               '' AS frequency, 'a b ' || friendly_name AS notes FROM bmeta WHERE units <> 'ECONOMY'"""),
+    "b7_described_table": ("obs typed", """
+        SELECT series_id, date, value, 'silver' AS quality, 'observed value' AS comment FROM typed WHERE value IS NOT NULL"""),
+    "b8_layout": ("", "SELECT CAST(0 AS BIGINT) AS overlapping, count(*) AS n, TRUE AS many FROM lineitem"),
+    "b9_compacted": ("big", "SELECT series_id, date, value, TRUE AS fewer_files FROM big"),
+    "c5_audit_stamps": ("obs typed", """
+        SELECT series_id, date, '2024-02-15 00:00:00' AS stamp FROM typed
+        UNION ALL SELECT series_id, date, '2024-02-16 10:00:00' FROM typed WHERE value IS NOT NULL"""),
+    "h3_empty_result": ("", """
+        SELECT '' AS run_timestamp, '' AS series_id, '' AS series_name, DATE '2024-01-01' AS date, CAST(0 AS DOUBLE) AS value
+        FROM events WHERE FALSE"""),
+    "i3_offset_timestamps": ("obs", """
+        SELECT series_id, date, strftime(run_timestamp + CASE series_name WHEN 'click' THEN INTERVAL 6 HOUR
+               WHEN 'view' THEN INTERVAL (-330) MINUTE WHEN 'purchase' THEN INTERVAL 0 HOUR END, '%Y-%m-%d %H:%M:%S') AS utc
+        FROM obs"""),
+    "i12_catalog_join": ("obs meta", """
+        SELECT o.series_id, o.date, o.value, m.friendly_name FROM obs o LEFT JOIN meta m ON o.series_id = m.series_id"""),
+    "j2_continuous": ("obs typed", "SELECT series_id, series_name, date, value FROM typed"),
     "k2_refused": ("obs typed", """
         SELECT 'good' AS batch, CAST(0 AS BIGINT) AS broken, count(*) AS published FROM obs
         UNION ALL SELECT 'bad', count(*) FILTER (WHERE value IS NULL), 0 FROM typed

@@ -10,14 +10,14 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesflow.functions import parsing as P
 from seriesflow.operators import checks, joins, quality, resample, revisions
 from seriesflow.operators.quality import Expectations
 from seriesflow.plans import layers, update
-from seriesflow.schemas import LANDING_METADATA, LANDING_OBSERVATIONS
+from seriesflow.schemas import LANDING_METADATA, LANDING_OBSERVATIONS, TABLES
 from seriesflow.session import configure, scratch_path, size_shuffles
 from seriesflow.sinks import snapshots, tables
 from seriesflow.sources import catalog, landing, payloads
@@ -539,6 +539,74 @@ def a11_landed_files(spark, d):
     return landing.landed_files(spark, d)
 
 
+def a11_landed_rows(spark, d):
+    """Rows of each landed run, by the file that each row came from."""
+    root = scratch_path(spark, "a11")
+    for name, part in zip(("early", "late"), _halves(_landing_rows(spark, d)), strict=True):
+        snapshots.save_csv(part, root, name, _RUN)
+    rows = spark.read.schema(LANDING_OBSERVATIONS).option("header", True).option("recursiveFileLookup", True).csv(root)
+    files = landing.landed_rows(rows, root)
+    run = F.regexp_extract("file_path", "/(early|late)_[0-9_]+/", 1).alias("run")
+    return files.where(F.col("file_path").endswith(".csv")).groupBy(run).agg(
+        F.sum("rows").alias("rows"), (F.min("file_size") > 0).alias("has_bytes")
+    )
+
+
+def a8_large_response(spark, d):
+    """One response file for each event type, read in as many tasks as its size asks for."""
+    root = scratch_path(spark, "a8")
+    one = F.to_json(F.struct(F.col("date").cast("string").alias("date"), F.col("raw_value").alias("value")))
+    inner = F.expr("substring(record, 2, length(record) - 2)")
+    for name in (*EVENT_CATALOG, "error"):
+        rows = obs(spark, d).where(F.col("series_name") == name).select(one.alias("record")).coalesce(1)
+        head = F.when(F.monotonically_increasing_id() == 0, '{"observations":[{').otherwise("")
+        rows.select(F.concat(head, inner)).write.option("lineSep", payloads.RECORD_BORDER).text(f"{root}/{name}")
+    found = [
+        payloads.read_records(spark, f"{root}/{name}").withColumn("series_id", F.lit(name)) for name in (*EVENT_CATALOG, "error")
+    ]
+    fetched = payloads.fetch_records(checks.concat(found), "2024-02-01 08:00:00", _RESPONSE_CATALOG, "2024-01-05", "2024-01-25")
+    return fetched.select(*LANDING_OBSERVATIONS.names)
+
+
+def a13_fetch_metadata(spark, d):
+    """One response for each part, named by a catalog that is a table; absent attributes empty, notes cleaned."""
+    series = F.struct(
+        F.col("series_id").alias("id"), F.col("title"), F.col("units"), F.concat(F.lit(" a\n  b "), F.col("friendly_name")).alias("notes")
+    )
+    responses = bmeta(spark, d).select("series_id", F.to_json(F.struct(F.array(series).alias("seriess"))).alias("payload"))
+    named = bmeta(spark, d).where("units <> 'ECONOMY'").select("series_id", F.concat(F.lit("Part "), "series_id").alias("friendly_name"))
+    found = payloads.fetch_metadata(responses, "2024-02-01 08:00:00", named)
+    return found.select("run_timestamp", "series_id", "friendly_name", "title", "units", "frequency", "notes")
+
+
+def i12_catalog_join(spark, d):
+    """The names of a catalog that is a table: each series of the events by its customer."""
+    return catalog.with_friendly_name(obs(spark, d).select("series_id", "date", "value"), meta(spark, d))
+
+
+def c5_audit_stamps(spark, d):
+    bronze = layers.bronze_observations(_landing_rows(spark, d), AS_OF)
+    silver = layers.silver_observations(bronze, "2024-02-16 10:00:00")
+    stamped = bronze.select("series_id", "date", F.col("ingestion_timestamp").alias("stamp")).unionByName(
+        silver.select("series_id", "date", F.col("updated_at").alias("stamp"))
+    )
+    return stamped.withColumn("stamp", P.format_timestamp("stamp"))
+
+
+def i3_offset_timestamps(spark, d):
+    """Run times with full and short offsets, and without one, read and written in UTC."""
+    text = P.format_timestamp("run_timestamp")
+    offset = F.element_at(F.create_map(*map(F.lit, ("click", "-06", "view", "+05:30", "purchase", "Z"))), F.col("series_name"))
+    found = obs(spark, d).select("series_id", "date", F.concat(text, F.coalesce(offset, F.lit(""))).alias("text"))
+    return found.withColumn("utc", P.format_timestamp(P.parse_offset_timestamp("text"))).drop("text")
+
+
+def h3_empty_result(spark, d):
+    """No response at all leaves no rows, but all columns."""
+    none = _responses(spark, d).where(F.col("payload").isNull())
+    return payloads.fetch_observations(none, "2024-02-01 08:00:00", _RESPONSE_CATALOG).select(*LANDING_OBSERVATIONS.names)
+
+
 def _responses(spark, d) -> DataFrame:
     """One response for each event: failed for errors, empty for sign-ups, else with one observation."""
     one = F.array(F.struct(F.col("date").cast("string").alias("date"), F.col("raw_value").alias("value")))
@@ -603,6 +671,46 @@ def b8_clustered_table(spark, d):
     return spark.read.parquet(path)
 
 
+def b7_described_table(spark, d):
+    """A table made from its description: rows beside the comments and properties that the catalog has."""
+    root = scratch_path(spark, "b7")
+    spec, table = TABLES["silver_observations"], "described_" + root.rsplit("-", 1)[-1]
+    tables.create_from_spec(spark, table, spec, root)
+    tables.append(layers.silver_observations(_landing_rows(spark, d), AS_OF), table)
+    properties = tables.table_properties(spark, table)
+    comments = {r["col_name"]: r["comment"] for r in spark.sql(f"DESCRIBE TABLE {table}").collect()}
+    rows = spark.read.schema(spec.schema).parquet(root).select(
+        "series_id", "date", "value", F.lit(properties["quality"]).alias("quality"), F.lit(comments["value"]).alias("comment")
+    )
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
+def b8_layout(spark, d):
+    """Files of a clustered table whose ranges of series and dates overlap, and the rows in all files."""
+    path = scratch_path(spark, "b8layout")
+    tables.clustered(big(spark, d), ["series_id", "date"], 8).write.parquet(path)
+    key = F.struct("series_id", "date")
+    held = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    before = F.max("high").over(Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
+    marked = held.withColumn("overlaps", F.coalesce(before > F.col("low"), F.lit(False)))
+    return marked.agg(F.count_if("overlaps").alias("overlapping"), F.sum("n").alias("n"), (F.count("file") >= 8).alias("many"))
+
+
+def b9_compacted(spark, d):
+    """Many small files become few, with the same rows."""
+    root = scratch_path(spark, "b9c")
+    table = "compacted_" + root.rsplit("-", 1)[-1]
+    tables.append(big(spark, d).repartition(16), table, f"{root}/small")
+    before = landing.landed_files(spark, f"{root}/small").count()
+    path = tables.compact(spark, table, root, ["series_id", "date"])
+    spark.sql(f"DROP TABLE {table}")
+    fewer = landing.landed_files(spark, path).where(F.col("file_path").endswith(".parquet")).count() < before
+    return spark.read.parquet(path).withColumn("fewer_files", F.lit(fewer))
+
+
 def b9_compacted_table(spark, d):
     path = scratch_path(spark, "b9")
     tables.sized(big(spark, d), "series_id", "date").write.parquet(path)
@@ -638,6 +746,22 @@ def _later_half_first(spark, d, purpose: str, **options) -> update.Layout:
     return layout
 
 
+def j2_continuous(spark, d):
+    """Flows that keep running: a second run lands while they do."""
+    root = scratch_path(spark, "j2")
+    parts = _halves(_landing_rows(spark, d))
+    snapshots.save_csv(parts[0], f"{root}/landing", "observations", _RUN)
+    stream = layers.bronze_observations(landing.stream_csv(spark, f"{root}/landing", LANDING_OBSERVATIONS))
+    query = flows.start_append(stream, f"{root}/bronze", f"{root}/checkpoint", interval="0 seconds")
+    try:
+        query.processAllAvailable()
+        snapshots.save_csv(parts[1], f"{root}/landing", "observations", _RUN + dt.timedelta(days=1))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return landing.read_table(spark, f"{root}/bronze").select("series_id", "series_name", "date", "value")
+
+
 def k8_stream_quarantine(spark, d):
     """Two runs through all layers: kept and rejected rows of the silver flow, each with the rules it breaks."""
     layout = _later_half_first(spark, d, "k8", keep_rejected=True)
@@ -791,7 +915,18 @@ _REGISTERED = (
     a4_schema_evolution,
     a4_stream_evolution,
     a5_load_by_pattern,
+    a8_large_response,
     a11_landed_files,
+    a11_landed_rows,
+    a13_fetch_metadata,
+    b7_described_table,
+    b8_layout,
+    b9_compacted,
+    c5_audit_stamps,
+    h3_empty_result,
+    i3_offset_timestamps,
+    i12_catalog_join,
+    j2_continuous,
     a13_payload_status,
     a13_fetch,
     b1_csv_snapshot,

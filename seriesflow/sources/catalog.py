@@ -46,3 +46,14 @@ def friendly_name(series_id: Column | str, series: Mapping[str, str] = RATE_SERI
     """Look the name up; NULL for a series outside the catalog."""
     key = F.col(series_id) if isinstance(series_id, str) else series_id
     return F.try_element_at(catalog_map(series), key)
+
+
+def with_friendly_name(df: DataFrame, entries: DataFrame, series_id: str = "series_id", column: str = "friendly_name") -> DataFrame:
+    """The same lookup in a catalog that is a table of any size, as :func:`catalog` has it: a join, not a literal.
+
+    Of several entries for a series the first name counts, so that no row is doubled.
+    """
+    names = entries.groupBy(F.col("series_id").alias("_key"), F.xxhash64("series_id").alias("_digest"))
+    names = names.agg(F.min("friendly_name").alias("_name")).drop("_digest")
+    kept = [c for c in df.columns if c != column]
+    return df.join(names, F.col(series_id) == F.col("_key"), "left").select(*kept, F.col("_name").alias(column))

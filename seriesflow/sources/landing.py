@@ -131,6 +131,19 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def landed_rows(rows: DataFrame, path: str) -> DataFrame:
+    """(file_path, file_size, file_modification_time, rows) of all files below ``path``: how many of ``rows`` each gave.
+
+    ``rows`` are read from these files without a change of their number; a file that gave none has 0. Files
+    without any byte are not listed.
+    """
+    lineage = ("file_path", "file_size", "file_modification_time")
+    listed = rows.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = listed.select(*(F.col(f"_metadata.{c}").alias(c) for c in lineage))
+    counted = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("_n"))
+    return files.join(counted, "file_path", "left").select(*lineage, F.coalesce("_n", F.lit(0)).cast("bigint").alias("rows"))
+
+
 def total_bytes(spark: SparkSession, *paths: str) -> int:
     """Size of all files below the paths; one number reaches the driver."""
     # Scan tasks are cut by file size, but here nothing is read: let every core take one share of the files.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def metric_name(flow: str) -> str:
 class QualityRecorder(StreamingQueryListener):
     """Collects the counts of every micro-batch: a few numbers for each batch and rule, never rows.
 
-    Call :meth:`flush` after a drain, or from time to time beside continuous flows.
+    Call :meth:`flush` after a drain, :meth:`keep_flushing` beside continuous flows.
     """
 
     def __init__(self) -> None:
@@ -69,16 +70,45 @@ class QualityRecorder(StreamingQueryListener):
             self._rows.extend(found)
 
     def wait(self, *queries: StreamingQuery, timeout: float = 60) -> None:
-        """Block until the events of ended queries have arrived; the listener bus is asynchronous."""
+        """Block until the events of ended queries have arrived; the listener bus is asynchronous.
+
+        Counts that do not arrive in time are an error, not a smaller table.
+        """
         for query in queries:
-            self._event(str(query.runId)).wait(timeout)
+            if not self._event(str(query.runId)).wait(timeout):
+                raise TimeoutError(f"no end of query {query.runId} within {timeout} s: its counts may be incomplete")
+
+    def keep_flushing(self, spark: SparkSession, path: str, seconds: float = 60) -> Callable[[], None]:
+        """Flush beside continuous flows; returns a function that stops it and flushes what is left."""
+        done = threading.Event()
+
+        def work() -> None:
+            while not done.wait(seconds):
+                self.flush(spark, path)
+
+        thread = threading.Thread(target=work, name="quality-metrics", daemon=True)
+        thread.start()
+
+        def stop() -> None:
+            done.set()
+            thread.join()
+            self.flush(spark, path)
+
+        return stop
 
     def flush(self, spark: SparkSession, path: str) -> None:
         """Append what was collected to the metrics table."""
         with self._lock:
             rows, self._rows = self._rows, []
-        if rows:
+        if not rows:
+            return
+        try:
             spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        except Exception:
+            # Nothing is lost: the next flush takes them along, and a batch that is there twice counts once.
+            with self._lock:
+                self._rows = rows + self._rows
+            raise
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

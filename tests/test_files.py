@@ -170,6 +170,57 @@ def test_observations_of_responses(spark, responses, rows):
     ]
 
 
+def test_a_large_response_is_many_tasks(spark, tmp_path, rows):
+    """The same rows as from one text, whatever the cuts; head, tail, empty and failed responses."""
+    days = [dt.date(2000, 1, 1) + dt.timedelta(days=i) for i in range(9000)]
+    records = [{"realtime_start": "x", "date": str(d), "value": "." if i % 7 == 0 else str(i)} for i, d in enumerate(days)]
+    whole = {"count": 9000, "observations": records, "limit": 100000}
+    folder = tmp_path / "r"
+    folder.mkdir()
+    (folder / "DFF.json").write_text(json.dumps(whole, separators=(",", ":")))
+    (folder / "SOFR-2.json").write_text(json.dumps({"observations": records[:5]}, indent=1))
+    (folder / "DGS1.json").write_text('{"observations":[]}')
+    (folder / "DGS2.json").write_text('{"error_code":400}')
+    (folder / "DGS5.json").write_text(json.dumps({"observations": records[:1]}, separators=(",", ":")))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        found = payloads.read_records(spark, str(folder))
+        tasks = found.where("series_id = 'DFF'").select(F.spark_partition_id()).distinct().count()
+        good = found.where("broken IS NULL").select("series_id", "date", "value")
+        wanted = [("DFF", r["date"], r["value"]) for r in records] + [("SOFR", r["date"], r["value"]) for r in records[:5]]
+        assert rows(good) == sorted([*wanted, ("DGS5", records[0]["date"], records[0]["value"])], key=repr)
+        assert rows(found.where("broken IS NOT NULL"), "series_id", "broken") == [("DGS2", '{"error_code":400}')]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert tasks >= 5
+    run = "2024-12-10 08:00:00"
+    texts = payloads.read_payloads(spark, str(folder))
+    one = payloads.fetch_observations(texts, run, observation_start="2001-01-01")
+    assert rows(payloads.fetch_records(found, run, observation_start="2001-01-01")) == rows(one)
+
+
+def test_a_catalog_that_is_a_table(spark, responses, rows):
+    from seriesflow.sources.catalog import RATE_SERIES, catalog, with_friendly_name
+
+    observations, series = (payloads.read_payloads(spark, str(p)) for p in responses)
+    run, table = "2024-12-10 08:00:00", catalog(spark, RATE_SERIES)
+    assert rows(payloads.fetch_observations(observations, run, table)) == rows(payloads.fetch_observations(observations, run))
+    assert rows(payloads.fetch_metadata(series, run, table)) == rows(payloads.fetch_metadata(series, run))
+    twice = table.unionByName(table.withColumn("friendly_name", F.lit("~")))
+    df = spark.createDataFrame([("DFF", 1), ("none", 2), (None, 3)], "series_id string, friendly_name int")
+    assert rows(with_friendly_name(df, twice)) == [("DFF", RATE_SERIES["DFF"]), ("none", None), (None, None)]
+
+
+def test_rows_of_landed_files(spark, tmp_path):
+    spark.range(7).coalesce(1).write.csv(f"{tmp_path}/x/run 1")
+    spark.range(3).coalesce(1).write.csv(f"{tmp_path}/x/run%2B2")
+    (tmp_path / "x" / "blank.csv").write_text("\n")
+    rows = spark.read.option("recursiveFileLookup", True).schema("id int").csv(f"{tmp_path}/x")
+    found = {r["file_path"].split("/x/")[1].split("/")[0]: r["rows"] for r in landing.landed_rows(rows, f"{tmp_path}/x").collect() if r["file_path"].endswith(".csv")}
+    assert sorted(found.values()) == [0, 3, 7]
+
+
 def test_failed_responses_are_counted(spark, responses, rows):
     status = payloads.payload_status(payloads.read_payloads(spark, responses[0]))
     found = {s: (k, n) for s, k, n in rows(status)}

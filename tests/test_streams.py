@@ -246,6 +246,31 @@ def test_metrics_counted_twice_after_a_restart(spark, tmp_path, rows):
     assert rows(metrics.read_metrics(spark, f"{tmp_path}/m")) == [("f", "r", 1, 8)]
 
 
+def test_counts_of_endless_flows(spark, files, tmp_path, rows):
+    """Counts are flushed while the flow runs, and the rest when it stops; none is lost or counted twice."""
+    recorder = metrics.QualityRecorder()
+    spark.streams.addListener(recorder)
+    rules = Expectations.not_null("value")
+    stream = layers.bronze_observations(landing.stream_csv(spark, str(files.observations), LANDING_OBSERVATIONS))
+    kept = rules.enforce(rules.observe(stream, metrics.metric_name("bronze")))
+    stop = recorder.keep_flushing(spark, f"{tmp_path}/metrics", 0.5)
+    query = flows.start_append(kept, f"{tmp_path}/t", f"{tmp_path}/cp", interval="0 seconds")
+    try:
+        for i in range(3):
+            files.land(f"f{i}", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,4.5", "2024-12-10 08:00:00,DFF,Fed,2024-12-02,.")
+            query.processAllAvailable()
+            time.sleep(1)
+        assert (tmp_path / "metrics").exists()
+    finally:
+        query.stop()
+        recorder.wait(query)
+        stop()
+        spark.streams.removeListener(recorder)
+    assert rows(metrics.read_metrics(spark, f"{tmp_path}/metrics")) == [("bronze", "value_not_null", 3, 3)]
+    with pytest.raises(TimeoutError):
+        metrics.QualityRecorder().wait(query, timeout=0.1)
+
+
 def _first_run(files):
     files.land(
         "run1",

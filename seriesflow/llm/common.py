@@ -21,13 +21,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders that ``materialize`` has written and ``release`` has not emptied.
+written: list[str] = []
+
+
 def materialize(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts the lineage, survives lost executors."""
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
+    written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Empty the folders of tables that ``materialize`` gave (or the folders named), once all that reads them is written.
+
+    Nothing may read them after that: neither a DataFrame made of them nor one that is computed again from there.
+    """
+    for one in tables:
+        if isinstance(one, str):
+            paths = {one}
+        else:
+            paths = {f.rsplit("/", 1)[0] for f in one.inputFiles()}
+        for path in paths:
+            known = [w for w in written if w.rsplit("/", 1)[-1] == path.rsplit("/", 1)[-1]]
+            for folder in known:
+                spark.createDataFrame([], "released int").coalesce(1).write.mode("overwrite").parquet(folder)
+                written.remove(folder)
+
+
+def own_name(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` with underscores until no column of ``df`` has it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(spark: SparkSession, df: DataFrame) -> tuple[list[str], DataFrame, str]:
+    """The columns of ``df`` as they are to be selected, ``df`` written once with the numbers of its rows in a column
+    that it does not have, and that column's name."""
+    row = own_name(df, ROW)
+    rows = materialize(spark, df.withColumn(row, F.monotonically_increasing_id()), "rows")
+    return [f"`{c}`" for c in df.columns], rows, row
+
+
 def identified(spark: SparkSession, df: DataFrame) -> DataFrame:
     """``df`` with a unique long column ``__row``, for callers that number the rows in one scan only.
 
@@ -79,7 +117,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
     before = mark(edges)
     while True:
-        edges = materialize(spark, step(step(edges, True), False), "edges")
+        edges, former = materialize(spark, step(step(edges, True), False), "edges"), edges
+        release(spark, former)
         now = mark(edges)
         if now == before:
             break

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import ROW, identified, materialize, sha256_hex, stored
+from seriesflow.llm.common import ROW, identified, materialize, numbered, own_name, sha256_hex
 from seriesflow.llm.url_rules import LOWER, UPPER
 
 SIZE = 10
@@ -88,13 +88,14 @@ def scan(
     text: str = "text",
     size: int = SIZE,
     most_windows: int = MOST_WINDOWS,
+    row: str | None = None,
 ) -> DataFrame:
-    """One row for each document: ``__row`` (if given), ``doc_id``, ``n_words``, ``n_hit``, ``items`` and ``spans``.
+    """One row for each document: ``__row``, ``doc_id``, ``n_words``, ``n_hit``, ``items`` and ``spans``.
 
     ``items`` are the distinct ids as strings in order, ``spans`` the merged hit word ranges ``(first, last)``.
+    ``row`` names a column of unique numbers of the rows, if ``docs`` has one that every scan reads alike.
     """
-    if ROW not in docs.columns:
-        docs = identified(spark, docs)
+    docs = docs.withColumn(ROW, F.col(row)) if row else identified(spark, docs)
     grams = materialize(spark, item_windows(bench, text="text", size=size), "windows")
     known = grams.groupBy("gram", "n").agg(
         F.collect_set(F.col("item_id").cast("string")).alias("items"), F.first("h").alias("h")
@@ -160,23 +161,25 @@ def report(scanned: DataFrame) -> DataFrame:
 
 def remove_documents(spark: SparkSession, docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold a window of an item."""
-    docs = stored(spark, docs)
-    hit = scan(spark, docs, bench, **options).where("n_hit > 0").select(ROW)
-    return docs.join(materialize(spark, hit, "hits"), ROW, "left_anti").drop(ROW)
+    columns, docs, row = numbered(spark, docs)
+    hit = scan(spark, docs, bench, row=row, **options).where("n_hit > 0").select(F.col(ROW).alias(row))
+    return docs.join(materialize(spark, hit, "hits"), row, "left_anti").select(*columns)
 
 
 def remove_spans(spark: SparkSession, docs: DataFrame, bench: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with the hit words, and what lies between those of one span, cut from their texts."""
-    docs = stored(spark, docs)
-    spans = materialize(spark, scan(spark, docs, bench, text=text, **options).where("n_hit > 0").select(ROW, "spans"), "spans")
+    columns, docs, row = numbered(spark, docs)
+    hit, words_of = own_name(docs, "spans"), own_name(docs, "pieces")
+    spans = scan(spark, docs, bench, text=text, row=row, **options).where("n_hit > 0")
+    spans = materialize(spark, spans.select(F.col(ROW).alias(row), F.col("spans").alias(hit)), "spans")
     breaks = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     body = F.regexp_replace(text, rf"\A{breaks}", "")
     # The pieces of the text: each word with the break behind it.
     pieces = F.regexp_extract_all(body, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"), F.lit(0))
-    kept = "array_join(filter(pieces, (p, i) -> NOT exists(spans, s -> i + 1 BETWEEN s.first AND s.last)), '')"
+    kept = f"array_join(filter({words_of}, (p, i) -> NOT exists({hit}, s -> i + 1 BETWEEN s.first AND s.last)), '')"
     return (
-        docs.join(spans, ROW, "left")
-        .withColumn("pieces", F.when(F.col("spans").isNotNull(), pieces))
-        .withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(F.expr(kept)))
-        .drop(ROW, "spans", "pieces")
+        docs.join(spans, row, "left")
+        .withColumn(words_of, F.when(F.col(hit).isNotNull(), pieces))
+        .withColumn(text, F.when(F.col(hit).isNull(), F.col(text)).otherwise(F.expr(kept)))
+        .select(*columns)
     )

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesflow.llm.common import own_name
+
 LENGTH = 160
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -186,7 +188,6 @@ def identify(docs: DataFrame, network: Network | None, text: str = "text") -> Da
     found = F.lit(None).cast("struct<lang_pred:string,score:double>") if network is None else predictor(network)(F.col(text))
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     docs = docs.drop("lang_pred", "score")
-    judged = docs.withColumn("__found", found).withColumn(
-        "__found", F.when(letters, F.coalesce("__found", unknown)).otherwise(unknown)
-    )
-    return judged.select(*[judged[f"`{c}`"] for c in docs.columns], "__found.lang_pred", "__found.score")
+    name = own_name(docs, "found")
+    judged = docs.withColumn(name, found).withColumn(name, F.when(letters, F.coalesce(name, unknown)).otherwise(unknown))
+    return judged.select(*[judged[f"`{c}`"] for c in docs.columns], f"{name}.lang_pred", f"{name}.score")

@@ -9,7 +9,7 @@ probability equal to their similarity. Only some K ln K darts are thrown, whatev
 Documents of the same words are one class from the start and have one representative. Bands of a signature meet in
 buckets. A bucket isn't expanded into pairs: its members are compared with one centre, then those that are still in
 different components with the next one, and only what is left after ``ROUNDS`` centres in pairs. Every comparison is
-exact, on the texts. Linked documents are one class; each row gets the class and one row of a class is kept.
+exact, on the texts; the signatures tell beforehand which pairs are far from similar. Linked documents are one class; each row gets the class and one row of a class is kept.
 
 Words are runs of digits, letters and characters beyond ASCII, A-Z lower-cased. A text of one to four words is one
 shingle; one without words is its own shingle, so equal ones are copies. Null texts link with nothing. Rows with
@@ -20,19 +20,25 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import ROW, components, materialize, stored
+from seriesflow.llm.common import ROW, components, materialize, numbered, release, stored
 from seriesflow.llm.decontaminate import words
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS_PER_BAND = 24, 5
 K = BANDS * ROWS_PER_BAND
 ROUNDS = 8
+#: Equal coordinates, by one byte each, below which a pair is not looked at: a similarity of THRESHOLD gives 96 of 120,
+#: with a deviation of 4.4, so 66 is some seven deviations below.
+LEAST_EQUAL = 66
+#: Columns of a pair: two rows and the classes that they belong to so far.
+PAIR = ["a", "b", "label_a", "label_b"]
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -96,12 +102,16 @@ def dart_signature(elements: np.ndarray, weights: np.ndarray, k: int = K) -> np.
 
 
 def band_hashes(content: str) -> np.ndarray:
-    return bands_of(*np.unique(shingles(content), return_counts=True))
+    return bands_of(dart_signature(*_weighted(content)))
 
 
-def bands_of(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    signature = dart_signature(elements, counts.astype(np.float64)).reshape(BANDS, ROWS_PER_BAND)
-    salted = mix((signature * _FACTORS[:ROWS_PER_BAND]).sum(1) + np.arange(BANDS, dtype=np.uint64))
+def _weighted(content: str) -> tuple[np.ndarray, np.ndarray]:
+    elements, counts = np.unique(shingles(content), return_counts=True)
+    return elements, counts.astype(np.float64)
+
+
+def bands_of(signature: np.ndarray) -> np.ndarray:
+    salted = mix((signature.reshape(BANDS, ROWS_PER_BAND) * _FACTORS[:ROWS_PER_BAND]).sum(1) + np.arange(BANDS, dtype=np.uint64))
     return salted.view(np.int64)
 
 
@@ -112,15 +122,33 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return common / (int(a[1].sum()) + int(b[1].sum()) - common)
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bags = [np.unique(shingles(c), return_counts=True) for c in batch.column("content").to_pylist()]
-        sizes = pa.array([int(counts.sum()) for _, counts in bags], pa.int64())
-        hashes = [bands_of(*bag) for bag in bags]
-        flat = np.concatenate(hashes) if hashes else np.zeros(0, np.int64)
-        offsets = pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
-        yield pa.RecordBatch.from_arrays([batch.column(ROW), sizes, lists], [ROW, "size", "bands"])
+        sizes, bands, coordinates = [], [], []
+        for content in batch.column("content").to_pylist():
+            if content is None:
+                sizes.append(0)
+                bands.append([])
+                coordinates.append(b"")
+                continue
+            elements, weights = _weighted(content)
+            signature = dart_signature(elements, weights)
+            sizes.append(int(weights.sum()))
+            bands.append(bands_of(signature))
+            # One byte of each coordinate is enough to estimate by.
+            coordinates.append((mix(signature) >> _U(56)).astype(np.uint8).tobytes())
+        kept = [batch.column(n) for n in batch.schema.names if n != "content"]
+        arrays = [*kept, pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(coordinates, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, [*(n for n in batch.schema.names if n != "content"), "size", "bands", "coordinates"])
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, K) for c in ("coordinates_a", "coordinates_b"))
+        keep = pa.array((a == b).sum(1) >= LEAST_EQUAL)
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in PAIR], PAIR)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,20 +163,28 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         r = batch.to_pydict()
-        links = [
-            (a, b)
+        keep = [
+            similarity(bag(a, x), bag(b, y)) >= THRESHOLD
             for a, b, x, y in zip(r["a"], r["b"], r["content_a"], r["content_b"], strict=True)
-            if similarity(bag(a, x), bag(b, y)) >= THRESHOLD
         ]
-        a, b = zip(*links, strict=True) if links else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in PAIR], PAIR)
+
 
+def _both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """``pairs`` with ``column`` of both rows. A row with very many partners is split by the join.
 
-def verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts are similar; a centre with very many partners is split by the join."""
-    left = contents.select(F.col(ROW).alias("a"), F.col("content").alias("content_a"))
-    right = contents.select(F.col(ROW).alias("b"), F.col("content").alias("content_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "content_a", "content_b").mapInArrow(_verified, "a bigint, b bigint")
+    The table grows with the input, so it is not left to its size in a small run whether it is broadcast.
+    """
+    left = table.select(F.col(ROW).alias("a"), F.col(column).alias(f"{column}_a")).hint("merge")
+    right = table.select(F.col(ROW).alias("b"), F.col(column).alias(f"{column}_b")).hint("merge")
+    return pairs.join(left, "a").join(right, "b").select(*PAIR, f"{column}_a", f"{column}_b")
+
+
+def verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts are similar. Signatures sort out most of the others before a text is fetched."""
+    schema = ", ".join(f"{c} bigint" for c in PAIR)
+    likely = _both(pairs, signed, "coordinates").mapInArrow(_likely, schema)
+    return _both(likely, texts, "content").mapInArrow(_verified, schema)
 
 
 #: Sizes of documents that can link: the smaller one has at least THRESHOLD of the larger one's shingles.
@@ -156,90 +192,125 @@ def _comparable(a: str, b: str) -> str:
     return f"least({a}, {b}) >= {THRESHOLD} * greatest({a}, {b})"
 
 
-def links(spark: SparkSession, contents: DataFrame, representatives: DataFrame) -> DataFrame:
-    """``(node, component)`` of the representatives (``__row``) among ``contents`` that are similar to others."""
-    signed = contents.mapInArrow(_bands, f"{ROW} bigint, size bigint, bands array<bigint>").join(representatives, ROW)
-    signed = materialize(spark, signed, "signed")
+def content() -> Column:
+    """What of ``text`` is compared: its words, or all of it where it has none."""
+    w = words(F.col("text"))
+    return F.when(F.size(w) > 0, F.array_join(w, " ")).otherwise(F.concat(F.lit("\n"), F.col("text")))
+
+
+def links(spark: SparkSession, signed: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(node, component)`` of the ``signed`` representatives that are similar to others; ``docs`` has their texts."""
     bands = signed.select(ROW, "size", F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    met = materialize(spark, bands.join(shared, "bucket"), "met")
+    shared = bands.groupBy("bucket", F.xxhash64("bucket").alias("digest")).agg(F.count("*").alias("n")).where("n > 1")
+    met = materialize(spark, bands.join(shared.drop("digest").hint("merge"), "bucket"), "met")
     # A document that meets many others makes the better centre.
-    met = met.join(met.groupBy(ROW).agg(F.sum("n").alias("rank")), ROW).drop("n")
-    met = materialize(spark, met, "met")
-    texts = materialize(spark, contents.join(met.select(ROW).distinct(), ROW), "texts")
-    edges, known = None, None
+    ranks = met.groupBy(ROW).agg(F.sum("n").alias("rank"))
+    labelled = met.join(ranks.hint("merge"), ROW).drop("n").withColumn("label", F.col(ROW))
+    # Cut into words only where there is something to compare.
+    wanted = docs.select(ROW, "text").join(met.select(ROW).distinct().hint("merge"), ROW)
+    texts = materialize(spark, wanted.select(ROW, content().alias("content")), "texts")
+    found: list[DataFrame] = []
+    former = met
     for turn in range(ROUNDS + 1):
-        labelled = met.withColumn("label", F.col(ROW))
-        if known is not None:
-            labelled = met.join(known.select(F.col("node").alias(ROW), "component"), ROW, "left").select(
-                *met.columns, F.coalesce("component", ROW).alias("label")
-            )
         groups = labelled.groupBy("bucket").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.struct("rank", (-F.col(ROW)).alias("r"))).alias("c")
         )
         centres = groups.where("low < high").select("bucket", (-F.col("c.r")).alias("centre"))
         open_rows = materialize(spark, labelled.join(centres, "bucket"), "open")
+        if turn < 2:
+            # The first of these are the large ones.
+            release(spark, former)
+        former = open_rows
         if open_rows.isEmpty():
             break
         if turn < ROUNDS:
-            labels = open_rows.where(F.col(ROW) == F.col("centre")).select(
+            centre = open_rows.where(F.col(ROW) == F.col("centre")).select(
                 "bucket", F.col("label").alias("centre_label"), F.col("size").alias("centre_size")
             )
             pairs = (
-                open_rows.join(labels, "bucket")
+                open_rows.join(centre, "bucket")
                 .where(f"label <> centre_label AND {_comparable('size', 'centre_size')}")
-                .select(F.col(ROW).alias("a"), F.col("centre").alias("b"))
+                .select(F.col(ROW).alias("a"), F.col("centre").alias("b"), F.col("label").alias("label_a"), F.col("centre_label").alias("label_b"))
             )
-            met = open_rows.where(F.col(ROW) != F.col("centre")).select(*met.columns)
         else:
             # A pair that meets in several buckets is taken from the first of them.
-            open_rows = open_rows.drop("size").join(signed, ROW)
-            other = open_rows.select(
-                "bucket", F.col(ROW).alias("b"), F.col("label").alias("other"), F.col("size").alias("other_size"), F.col("bands").alias("other_bands")
+            whole = open_rows.drop("size").join(signed.select(ROW, "size", "bands"), ROW)
+            other = whole.select(
+                "bucket", F.col(ROW).alias("b"), F.col("label").alias("label_b"), F.col("size").alias("other_size"), F.col("bands").alias("other_bands")
             )
             first = "filter(zip_with(bands, other_bands, (x, y) -> if(x = y, x, NULL)), x -> x IS NOT NULL)[0] = bucket"
             pairs = (
-                open_rows.join(other, "bucket")
-                .where(f"{ROW} > b AND label <> other AND {_comparable('size', 'other_size')} AND {first}")
-                .select(F.col(ROW).alias("a"), "b")
+                whole.join(other, "bucket")
+                .where(f"{ROW} > b AND label <> label_b AND {_comparable('size', 'other_size')} AND {first}")
+                .select(F.col(ROW).alias("a"), "b", F.col("label").alias("label_a"), "label_b")
             )
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        found = materialize(spark, verified(pairs, texts), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        known = components(spark, edges)
-    return known if known is not None else spark.createDataFrame([], "node bigint, component bigint")
-
-
-def classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: ``__row, doc_id, class_id, class_size, kept``."""
-    if ROW not in docs.columns:
-        docs = stored(spark, docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
-        doc_id, text = "doc_id", "text"
-    w = words(F.col(text))
-    content = F.when(F.size(w) > 0, F.array_join(w, " ")).otherwise(F.concat(F.lit("\n"), F.col(text)))
-    content = F.when(F.col(text).isNull(), F.concat(F.lit("\r"), F.col(ROW).cast("string"))).otherwise(content)
-    rows = docs.select(ROW, F.col(doc_id).alias("doc_id"), content.alias("content"))
-    members = materialize(spark, rows.select(ROW, "doc_id", F.sha2("content", 256).alias("key")), "members")
-    first = members.groupBy("key").agg(F.min(ROW).alias("rep"))
-    members = materialize(spark, members.join(first, "key").drop("key"), "members")
-    singles = members.select(F.col("rep").alias(ROW)).distinct()
-    known = links(spark, rows.where(F.col(text).isNotNull()).select(ROW, "content"), singles)
+        linked = materialize(spark, verified(pairs.distinct(), signed, texts), "links")
+        found.append(linked)
+        if turn == ROUNDS:
+            break
+        # Labels name the classes as far as known: each centre and what is linked to it take the least of their labels.
+        # That only saves comparisons; the classes themselves are worked out from all links at the end.
+        stars = linked.groupBy(F.col("label_b").alias("centre_label")).agg(F.least(F.min("label_a"), F.col("label_b")).alias("least"))
+        united = (
+            linked.join(stars, F.col("label_b") == F.col("centre_label"))
+            .select(F.col("label_a").alias("label"), "least")
+            .unionByName(stars.select(F.col("centre_label").alias("label"), "least"))
+            .groupBy("label")
+            .agg(F.min("least").alias("least"))
+        )
+        rest = open_rows.where(F.col(ROW) != F.col("centre")).drop("centre")
+        labelled = rest.join(united, "label", "left").select(
+            *(c for c in rest.columns if c != "label"), F.coalesce("least", "label").alias("label")
+        )
+    release(spark, former, texts)
+    if not found:
+        return spark.createDataFrame([], "node bigint, component bigint")
+    return components(spark, reduce(DataFrame.unionByName, found).select("a", "b"))
+
+
+def classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """One row for each row of ``docs``: ``__row, doc_id, class_id, class_size, kept``.
+
+    ``row`` names a column of unique numbers of the rows, if ``docs`` has one that every scan reads alike.
+    """
+    own = [F.col(row).alias(ROW)] if row else []
+    docs = docs.select(*own, F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if not row:
+        docs = stored(spark, docs)
+    rows = docs.select(ROW, "doc_id", F.when(F.col("text").isNotNull(), content()).alias("content"))
+    key = F.sha2(F.coalesce("content", F.concat(F.lit("\r"), F.col(ROW).cast("string"))), 256)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    signed = rows.select(ROW, "doc_id", key.alias("key"), "content").mapInArrow(
+        _signed, f"{ROW} bigint, doc_id {kind}, key string, size bigint, bands array<bigint>, coordinates binary"
+    )
+    signed = materialize(spark, signed, "signed")
+    first = signed.groupBy("key", F.xxhash64("key").alias("digest")).agg(F.min(ROW).alias("rep")).drop("digest")
+    members = materialize(spark, signed.select(ROW, "doc_id", "key").join(first.hint("merge"), "key").drop("key"), "members")
+    singles = members.where(F.col(ROW) == F.col("rep")).select(ROW)
+    alone = signed.join(singles.hint("merge"), ROW).where("size > 0").select(ROW, "size", "bands", "coordinates")
+    alone = materialize(spark, alone, "representatives")
+    release(spark, signed)
+    known = links(spark, alone, docs.where(F.col("text").isNotNull()))
+    release(spark, alone)
     labelled = members.join(known, members["rep"] == known["node"], "left").select(
         ROW, "doc_id", F.coalesce("component", "rep").alias("label")
     )
     labelled = materialize(spark, labelled, "labelled")
-    named = labelled.groupBy("label").agg(
+    release(spark, members, known)
+    named = labelled.groupBy("label", F.xxhash64("label").alias("digest")).agg(
         F.min("doc_id").alias("class_id"),
         F.count("*").alias("class_size"),
         F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW))).alias("first"),
     )
-    return labelled.join(named, "label").select(
+    return labelled.join(named.drop("digest"), "label").select(
         ROW, "doc_id", "class_id", "class_size", (F.col(ROW) == F.col("first")[ROW]).alias("kept")
     )
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class of near duplicates."""
-    docs = stored(spark, docs)
-    dropped = materialize(spark, classes(spark, docs, **options).where("NOT kept").select(ROW), "dropped")
-    return docs.join(dropped, ROW, "left_anti").drop(ROW)
+    columns, docs, row = numbered(spark, docs)
+    found = classes(spark, docs, doc_id, text, row)
+    dropped = materialize(spark, found.where("NOT kept").select(F.col(ROW).alias(row)), "dropped")
+    release(spark, found)
+    return docs.join(dropped, row, "left_anti").select(*columns)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import ROW, materialize, sha256_hex, stored
+from seriesflow.llm.common import ROW, materialize, numbered, own_name, sha256_hex, stored
 
 #: Distance in code points within which parts belong together, and the width of the join's blocks.
 REACH = 200
@@ -163,14 +163,14 @@ def report(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: s
 
 def redact(spark: SparkSession, docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of a secret replaced by ``mark``; overlapping spans become one."""
-    docs = stored(spark, docs)
-    folded = f"""aggregate(spans, struct('' AS out, 0L AS at),
+    columns, docs, row = numbered(spark, docs)
+    hidden = own_name(docs, "spans")
+    folded = f"""aggregate(`{hidden}`, struct('' AS out, 0L AS at),
         (acc, s) -> if(s.stop <= acc.at, acc, struct(
             concat(acc.out, if(s.start >= acc.at, concat(substring(`{text}`, cast(acc.at + 1 AS int), cast(s.start - acc.at AS int)), '{mark}'), '')) AS out,
             s.stop AS at)),
         acc -> concat(acc.out, substring(`{text}`, cast(acc.at + 1 AS int))))"""
-    found = materialize(spark, find(spark, docs, text), "found").withColumnRenamed("spans", "__spans")
-    cut = F.expr(folded.replace("aggregate(spans", "aggregate(__spans"))
-    return docs.join(found, ROW, "left").withColumn(
-        text, F.when(F.col("__spans").isNull(), F.col(text)).otherwise(cut)
-    ).drop(ROW, "__spans")
+    found = find(spark, docs.select(F.col(row).alias(ROW), F.col(text).alias("text")))
+    found = materialize(spark, found.select(F.col(ROW).alias(row), F.col("spans").alias(hidden)), "found")
+    redacted = F.when(F.col(hidden).isNull(), F.col(text)).otherwise(F.expr(folded))
+    return docs.join(found, row, "left").withColumn(text, redacted).select(*columns)

@@ -277,7 +277,8 @@ def test_table_description(spark, tmp_path, table):
     tables.create_from_spec(spark, name, spec, f"{tmp_path}/t")
     tables.create_from_spec(spark, name, spec, f"{tmp_path}/t")
     assert tables.table_properties(spark, name)["quality"] == "silver"
-    assert "series_id REFERENCES" in tables.table_properties(spark, name)["constraints"]
+    said = "series_id in silver_metadata.series_id; never null: series_id, date, value"
+    assert tables.table_properties(spark, name)["constraints"] == said
     described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     assert described["Comment"] == spec.comment
     assert {c.name: c.description for c in spark.catalog.listColumns(name)}["date"] == "observation date"

@@ -7,7 +7,8 @@ that holds a third of all rows is folded in many tasks; a fold holds one message
 conversation follow each other in sorted partitions and are read as a stream: no task holds a conversation.
 
 Null texts are empty, a null role is the empty role, unknown events count as ``delta``. Events with equal ``seq`` go
-by event, role and text. Conversations with a null id are one conversation. An empty log gives no rows.
+by event, role and text. Ids are numbers or texts. Conversations with a null id are one conversation; turns are whole
+numbers. Other columns are dropped. An empty log gives no rows.
 
 A turn is written as ``### <role>: <text></turn>`` and a line break. Inside roles and texts a backslash goes before
 every backslash, ``#``, ``:`` in roles and ``<`` in texts, so that no mark can appear there; reading takes the
@@ -29,10 +30,10 @@ from pyspark.sql import Window as W
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
 ASSISTANT = "assistant"
 
-MESSAGES = "conv_id bigint, turn bigint, part bigint, role string, text string"
-READ_BACK = (
-    "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-)
+MESSAGES = "conv_id {}, turn bigint, part bigint, role string, text string"
+READ_BACK = "conv_id {}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+#: Characters of a streamed delta.
+DELTA = 100
 
 
 def as_events(rows: DataFrame) -> DataFrame:
@@ -49,16 +50,47 @@ def as_events(rows: DataFrame) -> DataFrame:
     )
 
 
+def as_streamed(rows: DataFrame) -> DataFrame:
+    """A log of plain rows as a chat service would have written it, whose fold gives the rows again.
+
+    A text comes in deltas of ``DELTA`` characters. By the checksum of its place, a quarter of the messages begins with
+    a draft that is regenerated, another quarter with a first delta in reverse that an edit replaces.
+    """
+    messages = as_events(rows).drop("seq", "event")
+    whole = F.coalesce("text", F.lit(""))
+    pieces = F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{DELTA}}}"), F.lit(0))
+    pieces = F.when(F.size(pieces) > 0, pieces).otherwise(F.array(F.lit("")))
+    place = F.concat_ws(",", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), "turn", "part")
+
+    def event(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("event"), text.alias("text"))
+
+    first = F.col("pieces")[0]
+    deltas = F.transform("pieces", lambda piece: event("delta", piece))
+    rest = F.filter(deltas, lambda _, i: i > 0)
+    draft = F.array(event("delta", F.concat(F.lit("draft of "), first)), event("regenerate", F.lit("")))
+    mistaken = F.array(event("delta", F.reverse(first)), event("edit", first))
+    kind = F.crc32(F.col("place")) % 4
+    events = F.when(kind == 0, F.concat(draft, deltas)).when(kind == 1, F.concat(mistaken, rest)).otherwise(deltas)
+    # Pieces are worked out once for each message, before its events become rows.
+    logged = messages.withColumns({"pieces": pieces, "place": place}).drop("text").withColumn("events", events)
+    return logged.select("conv_id", "turn", "part", F.posexplode("events").alias("seq", "e"), "role").select(
+        "conv_id", "turn", "part", F.col("seq").cast("bigint").alias("seq"), "e.event", "role", "e.text"
+    )
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, role, pieces, done = None, "", [], []
+    ids = pa.int64()
 
     def flush(rows: list) -> pa.RecordBatch:
         names = ("conv_id", "turn", "part", "role", "text")
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        kinds = (ids, pa.int64(), pa.int64(), pa.string(), pa.string())
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     for batch in batches:
+        ids = batch.schema.field("conv_id").type
         for r in batch.to_pylist():
             now = (r["conv_id"], r["turn"], r["part"])
             if now != key:
@@ -81,7 +113,7 @@ def reconstruct(events: DataFrame) -> DataFrame:
     return (
         log.repartition("conv_id", "turn", "part")
         .sortWithinPartitions("conv_id", "turn", "part", "seq", "event", "role", "text")
-        .mapInArrow(_fold, MESSAGES)
+        .mapInArrow(_fold, MESSAGES.format(events.schema["conv_id"].dataType.simpleString()))
     )
 
 
@@ -119,11 +151,13 @@ def read_turns(formatted: str) -> Iterator[tuple[str, str, int, int]]:
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     none, out = object(), []
     key: object = none
+    ids = pa.int64()
 
     def close() -> None:
         out.append((key, turns, whole.hexdigest(), masked, loss.hexdigest(), chars))
 
     for batch in batches:
+        ids = batch.schema.field("conv_id").type
         for conv, piece in zip(batch.column("conv_id").to_pylist(), batch.column("piece").to_pylist(), strict=True):
             if conv != key:
                 if key is not none:
@@ -136,18 +170,18 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     masked += len(text)
                     loss.update(text.encode())
             chars += len(piece)
-        yield _digests(out)
+        yield _digests(out, ids)
         out.clear()
     if key is not none:
         close()
-        yield _digests(out)
+        yield _digests(out, ids)
 
 
-def _digests(rows: list) -> pa.RecordBatch:
+def _digests(rows: list, ids: pa.DataType) -> pa.RecordBatch:
     names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
     i, s = pa.int64(), pa.string()
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (i, i, s, i, s, i), strict=True)], names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (ids, i, s, i, s, i), strict=True)], names)
 
 
 def read_back(pieces: DataFrame) -> DataFrame:
@@ -156,7 +190,7 @@ def read_back(pieces: DataFrame) -> DataFrame:
         pieces.repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "part")
         .select("conv_id", "piece")
-        .mapInArrow(_digest, READ_BACK)
+        .mapInArrow(_digest, READ_BACK.format(pieces.schema["conv_id"].dataType.simpleString()))
     )
 
 

@@ -74,7 +74,7 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], rows.schema)
-    return chat.read_back(chat.format_log(chat.as_events(rows.unionByName(own))))
+    return chat.read_back(chat.format_log(chat.as_streamed(rows.unionByName(own))))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -305,7 +305,19 @@ def test_chat_round_trip(spark):
     rows = [(c, t, rng.choice(["user", "assistant", "a:b#\n", None]), "".join(rng.choice("\\#<>/ :turn\n") for _ in range(rng.randint(0, 40)))) for c in range(20) for t in range(6)]
     rows += [(1, 0, "assistant", None), (1, 0, "assistant", None)]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    for r in chat.read_back(chat.format_log(chat.as_events(df))).collect():
+    rows += [(20, 0, "assistant", "\U0001f600é\n" * 250), (20, 1, "user", ""), (None, 0, "user", "no id")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    log = chat.as_streamed(df)
+    assert {r["event"] for r in log.collect()} == {"delta", "edit", "regenerate"}
+    assert log.where("conv_id = 20 AND turn = 0").count() >= 8
+    whole = chat.reconstruct(log).select("conv_id", "turn", "role", "text")
+    plain = df.fillna("", ["role", "text"]).collect()
+    assert sorted(map(str, whole.collect())) == sorted(map(str, plain))
+    named = df.withColumn("conv_id", F.concat(F.lit("c"), "conv_id")).withColumn("events", F.lit(1))
+    digests = {r["turns_sha256"] for r in chat.read_back(chat.format_log(chat.as_streamed(named))).collect()}
+    assert digests == {r["turns_sha256"] for r in chat.read_back(chat.format_log(chat.as_events(df))).collect()}
+    assert chat.read_back(chat.format_log(chat.as_streamed(df.limit(0)))).count() == 0
+    for r in chat.read_back(chat.format_log(log)).collect():
         own = sorted((t, role or "", text or "") for c, t, role, text in rows if c == r["conv_id"])
         loss = "".join(text for _, role, text in own if role == "assistant")
         assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for _, a, b in own).encode()).hexdigest()

@@ -149,6 +149,7 @@ def start_current(
         interval,
         then,
         order_by=("run_timestamp", "value"),
+        audit=("run_timestamp", "updated_at"),
     )
 
 

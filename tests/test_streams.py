@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 import time
 import uuid
 
@@ -231,6 +232,74 @@ def test_upsert_survives_a_crash_while_partitions_are_replaced(spark, tmp_path,
     assert rows(spark.read.parquet(f"{tmp_path}/target"), "series_id", "value") == [("A", 3.0), ("B", 2.0)]
 
 
+SCHEMA = "series_id string, date date, value double, run_timestamp string, updated_at int"
+AUDIT = ("run_timestamp", "updated_at")
+
+
+def _differences(tmp_path):
+    folders = {"notes": f"{tmp_path}/cp/touched", "confirmed": f"{tmp_path}/cp/confirmed"}
+    return upsert.upserter(f"{tmp_path}/target", f"{tmp_path}/staged", audit=AUDIT, **folders)
+
+
+def _files(tmp_path):
+    found = {}
+    for path in (tmp_path / "target").rglob("*.parquet"):
+        found.setdefault(path.parent.name, set()).add(path.name)
+    return found
+
+
+def test_upsert_rewrites_the_periods_that_differ(spark, tmp_path, rows):
+    """A full history that comes again with one revision rewrites one year; the others are known to be confirmed."""
+    run, days = _differences(tmp_path), [dt.date(2020 + i // 3, 1 + i % 3, 1) for i in range(12)]
+
+    def history(name, revised=None):
+        data = [(s, d, 2.0 if (s, d) == revised else 1.0, name, 0) for s in "AB" for d in days]
+        return spark.createDataFrame(data, SCHEMA)
+
+    run(history("r1"), 0)
+    before = _files(tmp_path)
+    assert len(before) == 4
+    third = history("r3", ("A", days[4]))
+    run(third, 1)
+    after = _files(tmp_path)
+    assert {p for p in after if after[p] != before[p]} == {"_year=2021"}
+    assert upsert.touched_since(spark, f"{tmp_path}/cp", 0) == ["2021"]
+    shown = upsert.read_current(spark, third, f"{tmp_path}/target", f"{tmp_path}/cp")
+    assert rows(shown) == rows(third)
+    # A replay of the batch writes the same rows.
+    run(third, 1)
+    assert rows(upsert.read_current(spark, third, f"{tmp_path}/target", f"{tmp_path}/cp")) == rows(third)
+    # A late run is older than the one that confirmed a year, although no row of that run was written there.
+    late = spark.createDataFrame([("A", days[0], 9.0, "r2", 0), ("C", days[0], 5.0, "r2", 0)], SCHEMA)
+    run(late, 2)
+    shown = upsert.read_current(spark, third, f"{tmp_path}/target", f"{tmp_path}/cp")
+    assert rows(shown) == rows(third.unionByName(late.where("series_id = 'C'")))
+    run(history("r3").limit(0), 3)
+    assert rows(upsert.read_current(spark, third, f"{tmp_path}/target", f"{tmp_path}/cp")) == rows(shown)
+
+
+def test_upsert_by_difference_is_latest_wins(spark, tmp_path, rows):
+    """Any batches in any order, runs repeated and missing, keys and dates missing: always the latest run of all."""
+    from seriesflow.operators.revisions import latest_wins
+
+    rng, everything = random.Random(5), None
+    run = _differences(tmp_path)
+    days = [None, *(dt.date(2020 + i % 2, 1, 1 + i) for i in range(5))]
+    for number in range(9):
+        name = rng.choice([None, "r1", "r2", "r3", "r4"])
+        keys = [(s, d) for s in ("A", None) for d in days]
+        if number % 3 == 2:
+            keys = rng.sample(keys, 4)
+        odd = rng.choice(keys)
+        names = [name] if number != 4 else ["r1", "r5"]
+        data = [(s, d, float((s, d) == odd) if number % 2 else 0.0, rng.choice(names), 0) for s, d in keys]
+        batch = spark.createDataFrame(data, SCHEMA)
+        everything = batch if everything is None else everything.unionByName(batch)
+        run(batch, number)
+        shown = upsert.read_current(spark, batch, f"{tmp_path}/target", f"{tmp_path}/cp")
+        assert rows(shown) == rows(latest_wins(everything))
+
+
 def test_fail_mode_stops_the_stream_before_the_commit(spark, files, tmp_path):
     files.land("a", "2024-12-10 08:00:00,DFF,Fed,2024-12-01,.")
     bronze = layers.bronze_observations(landing.stream_csv(spark, str(files.observations), LANDING_OBSERVATIONS))

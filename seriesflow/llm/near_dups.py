@@ -18,17 +18,17 @@ equal ids stay apart; a class is named by its smallest id. An empty table gives
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesflow.llm.common import ROW, components, materialize, numbered, release, stored
-from seriesflow.llm.decontaminate import words
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS_PER_BAND = 24, 5
@@ -43,7 +43,15 @@ PAIR = ["a", "b", "label_a", "label_b"]
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, 64, dtype=np.uint64) | _U(1)
-_known_words: dict[str, int] = {}
+_BYTES = np.random.default_rng(12).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_BYTES[0] = 0
+_known_places = np.zeros(0, np.uint64)
+
+#: What a byte counts as in a word: digits, letters in lower case and bytes beyond ASCII; zero for what separates words.
+_FORMS = np.arange(256, dtype=np.uint8)
+_FORMS[0x41:0x5B] += 0x20
+for _low, _high in ((0x00, 0x30), (0x3A, 0x41), (0x5B, 0x61), (0x7B, 0x80)):
+    _FORMS[_low:_high] = 0
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -53,16 +61,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def shingles(content: str) -> np.ndarray:
-    """Hashes of the shingles of a text whose words are separated by spaces."""
-    import xxhash
+def normalised(text: bytes) -> np.ndarray:
+    """The words of a UTF-8 text, one zero byte between two; nothing for a text without words."""
+    forms = _FORMS[np.frombuffer(text, np.uint8)]
+    inside = forms != 0
+    keep = inside.copy()
+    keep[1:] |= inside[:-1]
+    kept = forms[keep]
+    return kept[:-1] if len(kept) and not kept[-1] else kept
+
+
+def _places(n: int) -> np.ndarray:
+    """An odd factor for each place of a byte in its word."""
+    global _known_places
+    if len(_known_places) < n:
+        _known_places = mix(_GOLD * np.arange(1, 2 * n + 1, dtype=np.uint64)) | _U(1)
+    return _known_places
+
+
+def word_hashes(kept: np.ndarray) -> np.ndarray:
+    """A hash of each word of a normalised text that has any."""
+    starts = np.concatenate([[0], np.flatnonzero(kept == 0) + 1])
+    lengths = np.diff(starts, append=len(kept))
+    place = np.arange(len(kept)) - np.repeat(starts, lengths)
+    return mix(np.add.reduceat(_BYTES[kept] * _places(int(lengths.max()))[place], starts))
+
 
-    tokens = content.split(" ")
-    if len(_known_words) > 300_000:
-        _known_words.clear()
-    for w in set(tokens).difference(_known_words):
-        _known_words[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.array([_known_words[w] for w in tokens], np.uint64)
+def shingles(text: bytes, kept: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the shingles of a UTF-8 text."""
+    kept = normalised(text) if kept is None else kept
+    if not len(kept):
+        import xxhash
+
+        return np.array([xxhash.xxh3_64_intdigest(text)], np.uint64)
+    h = word_hashes(kept)
     n = min(SHINGLE, len(h))
     return mix(sum(h[j : len(h) - n + 1 + j] * _FACTORS[j] for j in range(n)) + _U(n))
 
@@ -70,13 +102,14 @@ def shingles(content: str) -> np.ndarray:
 def dart_signature(elements: np.ndarray, weights: np.ndarray, k: int = K) -> np.ndarray:
     """The earliest dart of each coordinate for elements with positive weights."""
     cells = np.ceil(weights).astype(np.int64)
+    whole = bool((cells == weights).all())
     owner = np.repeat(np.arange(len(elements)), cells)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(cells) - cells, cells)
     region = mix(elements[owner] + _GOLD * (place + 1).astype(np.uint64))
     covered = np.minimum(weights[owner] - place, 1.0)
     until = (math.log(k) + 2) * k / weights.sum()
     while True:
-        times, coordinates, names = [], [], []
+        times, names = [], []
         live, clock, throw = np.arange(len(region)), np.zeros(len(region)), 0
         many = int(until + 4 * math.sqrt(until) + 2)
         while len(live):
@@ -85,28 +118,28 @@ def dart_signature(elements: np.ndarray, weights: np.ndarray, k: int = K) -> np.
             gap = -np.log(((dart >> _U(11)).astype(np.float64) + 1) * 2.0**-53)
             at = clock[live][:, None] + np.cumsum(gap, 1)
             dart = mix(dart)
-            # A region of less than weight one catches the darts that fall on its part.
-            inside = (dart >> _U(40)).astype(np.float64) * 2.0**-24 < covered[live][:, None]
-            hit = (at <= until) & inside
+            hit = at <= until
+            if not whole:
+                # A region of less than weight one catches the darts that fall on its part.
+                hit &= (dart >> _U(40)).astype(np.float64) * 2.0**-24 < covered[live][:, None]
             times.append(at[hit])
             names.append(dart[hit])
             clock[live] = at[:, -1]
             live = live[at[:, -1] <= until]
             throw += many
         t, d = np.concatenate(times), np.concatenate(names)
-        order = np.lexsort((d, t))
-        coordinates, first = np.unique((d[order] & _U((1 << 40) - 1)) % _U(k), return_index=True)
-        if len(coordinates) == k:
-            return d[order][first]
+        # The last one assigned to a coordinate stays, so the earliest goes last.
+        d = d[np.argsort(t, kind="stable")[::-1]]
+        coordinates = (d & _U((1 << 40) - 1)) % _U(k)
+        earliest, caught = np.zeros(k, np.uint64), np.zeros(k, bool)
+        earliest[coordinates], caught[coordinates] = d, True
+        if caught.all():
+            return earliest
         until *= 2
 
 
-def band_hashes(content: str) -> np.ndarray:
-    return bands_of(dart_signature(*_weighted(content)))
-
-
-def _weighted(content: str) -> tuple[np.ndarray, np.ndarray]:
-    elements, counts = np.unique(shingles(content), return_counts=True)
+def _weighted(text: bytes, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    elements, counts = np.unique(shingles(text, kept), return_counts=True)
     return elements, counts.astype(np.float64)
 
 
@@ -124,22 +157,26 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, bands, coordinates = [], [], []
-        for content in batch.column("content").to_pylist():
-            if content is None:
+        keys, sizes, bands, coordinates = [], [], [], []
+        for row, text in zip(batch.column(ROW).to_pylist(), batch.column("text").to_pylist(), strict=True):
+            if text is None:
+                keys.append(hashlib.sha256(b"\r%d" % row).hexdigest())
                 sizes.append(0)
                 bands.append([])
                 coordinates.append(b"")
                 continue
-            elements, weights = _weighted(content)
+            kept = normalised(text)
+            # Normalised texts have no line break, so texts with words and without never have the same key.
+            keys.append(hashlib.sha256(kept.tobytes() if len(kept) else b"\n" + text).hexdigest())
+            elements, weights = _weighted(text, kept)
             signature = dart_signature(elements, weights)
             sizes.append(int(weights.sum()))
             bands.append(bands_of(signature))
             # One byte of each coordinate is enough to estimate by.
             coordinates.append((mix(signature) >> _U(56)).astype(np.uint8).tobytes())
-        kept = [batch.column(n) for n in batch.schema.names if n != "content"]
-        arrays = [*kept, pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(coordinates, pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, [*(n for n in batch.schema.names if n != "content"), "size", "bands", "coordinates"])
+        signed = [pa.array(keys, pa.string()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(coordinates, pa.binary())]
+        names = [ROW, "doc_id", "key", "size", "bands", "coordinates"]
+        yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), *signed], names)
 
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,18 +191,18 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: dict[int, tuple] = {}
 
-    def bag(row: int, content: str) -> tuple[np.ndarray, np.ndarray]:
+    def bag(row: int, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         if row not in kept:
             if len(kept) > 256:
                 kept.clear()
-            kept[row] = np.unique(shingles(content), return_counts=True)
+            kept[row] = np.unique(shingles(text), return_counts=True)
         return kept[row]
 
     for batch in batches:
         r = batch.to_pydict()
         keep = [
             similarity(bag(a, x), bag(b, y)) >= THRESHOLD
-            for a, b, x, y in zip(r["a"], r["b"], r["content_a"], r["content_b"], strict=True)
+            for a, b, x, y in zip(r["a"], r["b"], r["text_a"], r["text_b"], strict=True)
         ]
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in PAIR], PAIR)
 
@@ -184,7 +221,7 @@ def verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame
     """The pairs whose texts are similar. Signatures sort out most of the others before a text is fetched."""
     schema = ", ".join(f"{c} bigint" for c in PAIR)
     likely = _both(pairs, signed, "coordinates").mapInArrow(_likely, schema)
-    return _both(likely, texts, "content").mapInArrow(_verified, schema)
+    return _both(likely, texts, "text").mapInArrow(_verified, schema)
 
 
 #: Sizes of documents that can link: the smaller one has at least THRESHOLD of the larger one's shingles.
@@ -192,12 +229,6 @@ def _comparable(a: str, b: str) -> str:
     return f"least({a}, {b}) >= {THRESHOLD} * greatest({a}, {b})"
 
 
-def content() -> Column:
-    """What of ``text`` is compared: its words, or all of it where it has none."""
-    w = words(F.col("text"))
-    return F.when(F.size(w) > 0, F.array_join(w, " ")).otherwise(F.concat(F.lit("\n"), F.col("text")))
-
-
 def links(spark: SparkSession, signed: DataFrame, docs: DataFrame) -> DataFrame:
     """``(node, component)`` of the ``signed`` representatives that are similar to others; ``docs`` has their texts."""
     bands = signed.select(ROW, "size", F.explode("bands").alias("bucket"))
@@ -206,9 +237,7 @@ def links(spark: SparkSession, signed: DataFrame, docs: DataFrame) -> DataFrame:
     # A document that meets many others makes the better centre.
     ranks = met.groupBy(ROW).agg(F.sum("n").alias("rank"))
     labelled = met.join(ranks.hint("merge"), ROW).drop("n").withColumn("label", F.col(ROW))
-    # Cut into words only where there is something to compare.
-    wanted = docs.select(ROW, "text").join(met.select(ROW).distinct().hint("merge"), ROW)
-    texts = materialize(spark, wanted.select(ROW, content().alias("content")), "texts")
+    texts = materialize(spark, docs.select(ROW, "text").join(met.select(ROW).distinct().hint("merge"), ROW), "texts")
     found: list[DataFrame] = []
     former = met
     for turn in range(ROUNDS + 1):
@@ -277,10 +306,9 @@ def classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text:
     docs = docs.select(*own, F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     if not row:
         docs = stored(spark, docs)
-    rows = docs.select(ROW, "doc_id", F.when(F.col("text").isNotNull(), content()).alias("content"))
-    key = F.sha2(F.coalesce("content", F.concat(F.lit("\r"), F.col(ROW).cast("string"))), 256)
+    docs = docs.withColumn("text", F.col("text").cast("string").cast("binary"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = rows.select(ROW, "doc_id", key.alias("key"), "content").mapInArrow(
+    signed = docs.mapInArrow(
         _signed, f"{ROW} bigint, doc_id {kind}, key string, size bigint, bands array<bigint>, coordinates binary"
     )
     signed = materialize(spark, signed, "signed")

@@ -8,7 +8,8 @@ probability equal to their similarity. Only some K ln K darts are thrown, whatev
 
 Documents of the same words are one class from the start and have one representative. Bands of a signature meet in
 buckets. A bucket isn't expanded into pairs: its members are compared with one centre, then those that are still in
-different components with the next one, and only what is left after ``ROUNDS`` centres in pairs. Every comparison is
+different components with the next one, and what is left after ``ROUNDS`` centres block by block inside tasks, which
+hand on only the links that join something (``within_cells``). Every comparison is
 exact, on the texts; the signatures tell beforehand which pairs are far from similar. Linked documents are one class; each row gets the class and one row of a class is kept.
 
 Words are runs of digits, letters and characters beyond ASCII, A-Z lower-cased. A text of one to four words is one
@@ -34,6 +35,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS_PER_BAND = 24, 5
 K = BANDS * ROWS_PER_BAND
 ROUNDS = 8
+#: Members of a bucket, and bytes of their texts, that a block holds on average in the comparison after ``ROUNDS`` centres.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 #: Equal coordinates, by one byte each, below which a pair is not looked at: a similarity of THRESHOLD gives 96 of 120,
 #: with a deviation of 4.4, so 66 is some seven deviations below.
 LEAST_EQUAL = 66
@@ -229,6 +232,86 @@ def _comparable(a: str, b: str) -> str:
     return f"least({a}, {b}) >= {THRESHOLD} * greatest({a}, {b})"
 
 
+def _regions(text: bytes) -> np.ndarray:
+    """The multiset of shingles as a sorted set: one number for each occurrence."""
+    elements, counts = np.unique(shingles(text), return_counts=True)
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.sort(mix(np.repeat(elements, counts) + _GOLD * (place + 1).astype(np.uint64)))
+
+
+def _linked_in_cell(bucket: int, cell: list[dict]) -> list[tuple]:
+    """Links of a cell that join all that its links join: at most one for each member."""
+    same_block = cell[0]["low"] == cell[0]["high"]
+    bands = np.array([m["bands"] for m in cell], np.int64)
+    coordinates = np.frombuffer(b"".join(m["coordinates"] for m in cell), np.uint8).reshape(-1, K)
+    sizes, labels, blocks = (np.array([m[c] for m in cell], np.int64) for c in ("size", "label", "block"))
+    roots, regions, out = labels.copy(), {}, []
+
+    def region(i: int) -> np.ndarray:
+        if i not in regions:
+            regions[i] = _regions(cell[i]["text"])
+        return regions[i]
+
+    for i in range(len(cell)):
+        others = np.arange(i + 1, len(cell)) if same_block else np.flatnonzero(blocks > blocks[i])
+        others = others[roots[others] != roots[i]]
+        others = others[np.minimum(sizes[others], sizes[i]) >= THRESHOLD * np.maximum(sizes[others], sizes[i])]
+        others = others[(coordinates[others] == coordinates[i]).sum(1) >= LEAST_EQUAL]
+        # A pair that meets in several buckets is taken from the first of them.
+        others = others[bands[i][(bands[others] == bands[i]).argmax(1)] == bucket]
+        if not len(others):
+            continue
+        own, theirs = region(i), [region(j) for j in others]
+        numbers = np.concatenate(theirs)
+        at = np.minimum(np.searchsorted(own, numbers), len(own) - 1)
+        starts = np.cumsum([0, *(len(r) for r in theirs[:-1])])
+        common = np.add.reduceat((own[at] == numbers).astype(np.int64), starts)
+        near = others[common / (sizes[others] + sizes[i] - common) >= THRESHOLD]
+        joined, first = np.unique(roots[near], return_index=True)
+        out += [(cell[i][ROW], cell[j][ROW], cell[i]["label"], cell[j]["label"]) for j in near[first]]
+        roots[np.isin(roots, joined)] = roots[i]
+    return out
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    key, cell = None, []
+
+    def links_of(cell: list[dict]) -> pa.RecordBatch:
+        columns = list(zip(*_linked_in_cell(key[0], cell), strict=True)) or [()] * len(PAIR)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], PAIR)
+
+    for batch in batches:
+        for member in batch.to_pylist():
+            now = (member["bucket"], member["low"], member["high"])
+            if now != key:
+                if cell:
+                    yield links_of(cell)
+                key, cell = now, []
+            cell.append(member)
+    if cell:
+        yield links_of(cell)
+
+
+def within_cells(open_rows: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the members of each bucket, all of them compared, without a row for each pair.
+
+    A bucket is dealt into blocks of some ``BLOCK`` members or ``BLOCK_BYTES`` of text, and each two blocks, or one with itself, are a cell. A
+    task holds one cell at a time, sorts out its pairs by their signatures and compares the others exactly.
+    """
+    whole = open_rows.select("bucket", ROW, "label", "size").join(signed.select(ROW, "bands", "coordinates").hint("merge"), ROW)
+    whole = whole.join(texts.hint("merge"), ROW)
+    many = whole.groupBy("bucket", F.xxhash64("bucket").alias("digest")).agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
+    dealt = whole.join(many.drop("digest"), "bucket").withColumn("block", F.pmod(F.xxhash64(ROW), "blocks").cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", ROW, "label", "size", "bands", "coordinates", "text",
+    )
+    cells = met.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", ROW)
+    return cells.mapInArrow(_cells, ", ".join(f"{c} bigint" for c in PAIR))
+
+
 def links(spark: SparkSession, signed: DataFrame, docs: DataFrame) -> DataFrame:
     """``(node, component)`` of the ``signed`` representatives that are similar to others; ``docs`` has their texts."""
     bands = signed.select(ROW, "size", F.explode("bands").alias("bucket"))
@@ -262,21 +345,10 @@ def links(spark: SparkSession, signed: DataFrame, docs: DataFrame) -> DataFrame:
                 .select(F.col(ROW).alias("a"), F.col("centre").alias("b"), F.col("label").alias("label_a"), F.col("centre_label").alias("label_b"))
             )
         else:
-            # A pair that meets in several buckets is taken from the first of them.
-            whole = open_rows.drop("size").join(signed.select(ROW, "size", "bands"), ROW)
-            other = whole.select(
-                "bucket", F.col(ROW).alias("b"), F.col("label").alias("label_b"), F.col("size").alias("other_size"), F.col("bands").alias("other_bands")
-            )
-            first = "filter(zip_with(bands, other_bands, (x, y) -> if(x = y, x, NULL)), x -> x IS NOT NULL)[0] = bucket"
-            pairs = (
-                whole.join(other, "bucket")
-                .where(f"{ROW} > b AND label <> label_b AND {_comparable('size', 'other_size')} AND {first}")
-                .select(F.col(ROW).alias("a"), "b", F.col("label").alias("label_a"), "label_b")
-            )
+            found.append(materialize(spark, within_cells(open_rows, signed, texts), "links"))
+            break
         linked = materialize(spark, verified(pairs.distinct(), signed, texts), "links")
         found.append(linked)
-        if turn == ROUNDS:
-            break
         # Labels name the classes as far as known: each centre and what is linked to it take the least of their labels.
         # That only saves comparisons; the classes themselves are worked out from all links at the end.
         stars = linked.groupBy(F.col("label_b").alias("centre_label")).agg(F.least(F.min("label_a"), F.col("label_b")).alias("least"))

@@ -129,8 +129,9 @@ def test_near_duplicates(spark, monkeypatch):
             w[rng.randrange(len(w))] = sentence(rng, 1)
         texts.append(" ".join(w))
     wanted = near_classes(texts)
-    for rounds in (0, 8):
+    for rounds, block in ((0, 512), (0, 5), (8, 512)):
         monkeypatch.setattr(near_dups, "ROUNDS", rounds)
+        monkeypatch.setattr(near_dups, "BLOCK", block)
         got = near_dups.classes(spark, documents(spark, texts)).collect()
         assert {r["doc_id"]: r["class_id"] for r in got} == dict(enumerate(wanted))
         assert sum(r["kept"] for r in got) == len(set(wanted))

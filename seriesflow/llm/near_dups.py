@@ -34,7 +34,7 @@ from seriesflow.llm.common import ROW, components, materialize, numbered, releas
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS_PER_BAND = 24, 5
 K = BANDS * ROWS_PER_BAND
-ROUNDS = 8
+ROUNDS = 2
 #: Members of a bucket, and bytes of their texts, that a block holds on average in the comparison after ``ROUNDS`` centres.
 BLOCK, BLOCK_BYTES = 512, 8 << 20
 #: Equal coordinates, by one byte each, below which a pair is not looked at: a similarity of THRESHOLD gives 96 of 120,

@@ -270,6 +270,11 @@ _STATEMENTS = {
     "b7_described_table": ("obs typed", """
         SELECT series_id, date, value, 'silver' AS quality, 'observed value' AS comment FROM typed WHERE value IS NOT NULL"""),
     "b8_layout": ("", "SELECT CAST(0 AS BIGINT) AS overlapping, count(*) AS n, TRUE AS many FROM lineitem"),
+    "b8_streamed_layout": ("obs typed meta", """
+        SELECT 'bronze_metadata' AS "table", CAST(0 AS BIGINT) AS overlapping, count(*) AS n, TRUE AS many FROM meta
+        UNION ALL SELECT 'silver_metadata', 0, count(*), TRUE FROM meta
+        UNION ALL SELECT 'bronze_observations', 0, count(*), TRUE FROM typed
+        UNION ALL SELECT 'silver_observations', 0, count(*), TRUE FROM typed WHERE value IS NOT NULL"""),
     "b9_compacted": ("big", "SELECT series_id, date, value, TRUE AS fewer_files FROM big"),
     "c5_audit_stamps": ("obs typed", """
         SELECT series_id, date, '2024-02-15 00:00:00' AS stamp FROM typed

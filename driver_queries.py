@@ -7,7 +7,8 @@ observations, ``part`` their series; ``documents`` and ``labels`` have orphans a
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -447,7 +448,7 @@ def _land_metadata(spark, d, directory: str) -> str:
     return snapshots.save_json_lines(rows.select(*text), directory, "series_metadata", _RUN)
 
 
-def _updated(spark, d, purpose: str) -> update.Layout:
+def _updated(spark, d, purpose: str, **options) -> update.Layout:
     """Land one run and drain it through all layers."""
     root = scratch_path(spark, purpose)
     snapshots.save_csv(_landing_rows(spark, d), f"{root}/landing/observations", "observations", _RUN)
@@ -458,6 +459,7 @@ def _updated(spark, d, purpose: str) -> update.Layout:
         landing_observations=f"{root}/landing/observations",
         landing_metadata=f"{root}/landing/metadata",
         source=SOURCE,
+        **options,
     )
     update.run_update(spark, layout)
     return layout
@@ -690,13 +692,37 @@ def b8_layout(spark, d):
     """Files of a clustered table whose ranges of series and dates overlap, and the rows in all files."""
     path = scratch_path(spark, "b8layout")
     tables.clustered(big(spark, d), ["series_id", "date"], 8).write.parquet(path)
-    key = F.struct("series_id", "date")
-    held = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+    return _overlaps(spark.read.parquet(path), ["series_id", "date"], 8)
+
+
+def _overlaps(rows: DataFrame, by: Sequence[str], several: int) -> DataFrame:
+    """How many files of a table overlap others in their ranges of ``by``, the rows, and whether there are ``several`` files."""
+    key = F.struct(*by)
+    held = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")
     )
     before = F.max("high").over(Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
     marked = held.withColumn("overlaps", F.coalesce(before > F.col("low"), F.lit(False)))
-    return marked.agg(F.count_if("overlaps").alias("overlapping"), F.sum("n").alias("n"), (F.count("file") >= 8).alias("many"))
+    return marked.agg(F.count_if("overlaps").alias("overlapping"), F.sum("n").alias("n"), (F.count("file") >= several).alias("many"))
+
+
+_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
+
+def b8_streamed_layout(spark, d):
+    """The same of the four streamed tables after one micro-batch; small ranges are not merged here."""
+    before = spark.conf.get(_COALESCE)
+    spark.conf.set(_COALESCE, "false")
+    try:
+        layout = _updated(spark, d, "b8s", ranged_batches=True)
+    finally:
+        spark.conf.set(_COALESCE, before)
+    facts = []
+    for name in ("bronze_metadata", "bronze_observations", "silver_metadata", "silver_observations"):
+        held = _overlaps(landing.read_table(spark, layout.path(name)), TABLES[name].cluster_by, 2)
+        facts.append(held.select(F.lit(name).alias("table"), "*"))
+    spark.sql(f"DROP DATABASE {layout.database} CASCADE")
+    return reduce(DataFrame.unionByName, facts)
 
 
 def b9_compacted(spark, d):
@@ -921,6 +947,7 @@ _REGISTERED = (
     a13_fetch_metadata,
     b7_described_table,
     b8_layout,
+    b8_streamed_layout,
     b9_compacted,
     c5_audit_stamps,
     h3_empty_result,

@@ -24,7 +24,7 @@ from seriesflow.schemas import (
     TABLES,
 )
 from seriesflow.session import path_exists, size_shuffles
-from seriesflow.sinks.tables import clustered, create_from_spec, quoted, refresh, refresh_partitions, table_properties
+from seriesflow.sinks.tables import clustered, create_from_spec, quoted, ranged, refresh, refresh_partitions, table_properties
 from seriesflow.sources.landing import RUN_FOLDERS, stream_csv, stream_json, stream_table, total_bytes
 from seriesflow.streaming.flows import committed, drain, start_append, start_sorted
 from seriesflow.streaming.metrics import QualityRecorder, metric_name
@@ -50,7 +50,8 @@ class Layout:
     ``strict_header`` stops the flow at a file whose header differs; without it columns go by name, whatever their order.
     ``keep_rejected`` (drop mode) keeps the rows that break a rule, with its names, in ``silver_*_rejected``.
     ``range_clustered`` pays one more exchange at each refresh of the gold view for files that each hold a
-    narrow range of series and dates.
+    narrow range of series and dates. ``ranged_batches`` does so in each micro-batch of the four streamed tables, for one
+    more exchange and one more pass over the batch, which samples the ranges.
     """
 
     root: str
@@ -65,6 +66,7 @@ class Layout:
     strict_header: bool = True
     keep_rejected: bool = False
     range_clustered: bool = False
+    ranged_batches: bool = False
     gold_versions: int = 2
 
     def table(self, name: str) -> str:
@@ -85,9 +87,21 @@ def _append(df: DataFrame, layout: Layout, name: str, interval: str | None) -> S
     return start_append(df, layout.path(name), layout.checkpoint(name), interval=interval)
 
 
+def _laid_out(df: DataFrame, layout: Layout, name: str) -> DataFrame:
+    """The rows of a table as its files are to hold them."""
+    if not layout.ranged_batches:
+        return df
+    by = TABLES[name].cluster_by
+    return ranged(df, by) if df.isStreaming else clustered(df, by)
+
+
 def start_bronze(spark: SparkSession, layout: Layout, interval: str | None = None) -> list[StreamingQuery]:
-    metadata = stream_json(spark, layout.landing_metadata, LANDING_METADATA, limits=layout.limits)
-    described = _append(layers.bronze_metadata(metadata), layout, "bronze_metadata", interval)
+    metadata = layers.bronze_metadata(stream_json(spark, layout.landing_metadata, LANDING_METADATA, limits=layout.limits))
+    described = _append(_laid_out(metadata, layout, "bronze_metadata"), layout, "bronze_metadata", interval)
+
+    def observations_of(landed: DataFrame) -> DataFrame:
+        return _laid_out(layers.bronze_observations(landed, layout.as_of), layout, "bronze_observations")
+
     if not layout.strict_header:
         observed = start_named_csv(
             spark,
@@ -95,22 +109,21 @@ def start_bronze(spark: SparkSession, layout: Layout, interval: str | None = Non
             layout.path("bronze_observations"),
             layout.checkpoint("bronze_observations"),
             LANDING_OBSERVATIONS,
-            lambda landed: layers.bronze_observations(landed, layout.as_of),
+            observations_of,
             interval,
             limits=layout.limits,
             required=("series_id", "date", "value"),
         )
         return [described, observed]
     observations = stream_csv(spark, layout.landing_observations, LANDING_OBSERVATIONS, limits=layout.limits)
-    return [
-        described,
-        _append(layers.bronze_observations(observations, layout.as_of), layout, "bronze_observations", interval),
-    ]
+    return [described, _append(observations_of(observations), layout, "bronze_observations", interval)]
 
 
 def start_silver(spark: SparkSession, layout: Layout, interval: str | None = None) -> list[StreamingQuery]:
     def flow(name: str, typed: DataFrame) -> StreamingQuery:
         rules = layers.expectations(name, layout.mode)
+        # Before the rows are counted: the pass that samples the ranges would count them once more.
+        typed = _laid_out(typed, layout, name)
         if layout.keep_rejected:
             observed = rules.observe(typed, metric_name(name))
             return start_sorted(observed, rules, layout.path(name), layout.checkpoint(name), interval)

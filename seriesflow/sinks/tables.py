@@ -91,16 +91,22 @@ def append(df: DataFrame, table: str, path: str | None = None) -> None:
     rows.write.insertInto(table)
 
 
-def clustered(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partitioned and sorted rows, so that file and row-group statistics skip other keys.
+def ranged(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Range-partitioned rows: each file holds a narrow range of ``by``. Also for a stream, within each micro-batch.
 
     The remaining sortable columns end the range key: a hot key is spread over as many partitions as its
-    rows differ. For copies that are equal in every column use :func:`sized`.
+    rows differ. For copies that are equal in every column use :func:`sized`. The ranges are sampled in a pass of their
+    own over ``df``, so rows are to be counted by ``observe`` after this, not before. Without ``partitions`` AQE merges
+    ranges up to the advisory partition size.
     """
     rest = [f.name for f in df.schema.fields if f.name not in by and f.dataType.typeName() not in ("map", "variant")]
     keys = [*by, *rest]
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*by)
+    return df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+
+
+def clustered(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Range-partitioned and sorted rows, so that file and row-group statistics skip other keys; see :func:`ranged`."""
+    return ranged(df, by, partitions).sortWithinPartitions(*by)
 
 
 def sized(df: DataFrame, *by: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from seriesflow.operators import checks
-from seriesflow.operators.quality import Expectations
+from seriesflow.operators.quality import KEPT, OUTCOME, Expectations
 from seriesflow.plans import layers, update
 from seriesflow.schemas import BRONZE_OBSERVATIONS, LANDING_METADATA, LANDING_OBSERVATIONS
 from seriesflow.sinks import tables
@@ -398,6 +398,85 @@ def test_update_with_all_copies(spark, files, layout):
     assert spark.table(layout.table("gold_observations")).count() == 2
 
 
+def _file_ranges(stored, by):
+    """Least and greatest key of each file, in order."""
+    key = F.struct(*by)
+    held = stored.groupBy(F.col("_metadata.file_path")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    return sorted((tuple(r.low), tuple(r.high)) for r in held.collect())
+
+
+def _apart(ranges):
+    return all(before[1] <= after[0] for before, after in zip(ranges, ranges[1:], strict=False))
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """AQE leaves ranges as they are, however small."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
+def _many_series(files, run, hour):
+    """Three files that each hold all of twelve series, one of them with most rows and one row without a value."""
+    for part in range(3):
+        lines = [f"2024-12-10 {hour},S{n:02},N,2024-{m:02}-{part + 1:02},{n}.5" for n in range(12) for m in range(1, 5)]
+        lines += [f"2024-12-10 {hour},S05,N,2023-{m:02}-{d:02},{m}.{d}" for m in range(1, 13) for d in range(part + 1, 28, 3)]
+        files.land(f"{run}-{part}", *lines, f"2024-12-10 {hour},S07,N,2022-01-0{part + 1},.")
+    files.describe(run, *({"series_id": f"S{n:02}"} for n in range(12)), run=f"2024-12-10 {hour}")
+
+
+@pytest.mark.parametrize("options", [{}, {"keep_rejected": True}, {"strict_header": False}, {"gold": "incremental"}])
+def test_files_of_a_batch_hold_narrow_ranges(spark, files, layout, rows, small_ranges, options):
+    from dataclasses import replace
+
+    layout = replace(layout, ranged_batches=True, **options)
+    _many_series(files, "run1", "08:00:00")
+    assert update.run_update(spark, layout)
+    for name, by in (
+        ("bronze_metadata", ["series_id"]),
+        ("silver_metadata", ["series_id"]),
+        ("bronze_observations", ["series_id", "date"]),
+        ("silver_observations", ["series_id", "date"]),
+    ):
+        nested = name == "bronze_observations" and not layout.strict_header
+        stored = spark.read.option("recursiveFileLookup", nested).parquet(layout.path(name))
+        if layout.keep_rejected and name.startswith("silver"):
+            stored = stored.where(F.col(OUTCOME) == KEPT)
+        ranges = _file_ranges(stored, by)
+        assert len(ranges) > 1 and _apart(ranges), (name, ranges)
+    # The pass that samples the ranges does not count rows a second time.
+    counted = {(f, r): (n, m) for f, r, n, m in rows(metrics.read_metrics(spark, layout.metrics))}
+    assert counted["silver_observations", "value_not_null"] == (3, 468)
+    assert counted["silver_metadata", "pk_series_id_not_null"] == (0, 12)
+    gold = spark.table(layout.table("gold_observations"))
+    assert gold.count() == gold.dropDuplicates(["series_id", "date"]).count() == 468
+    # Nothing new: nothing is written. A second run comes as another batch.
+    assert not update.run_update(spark, layout)
+    _many_series(files, "run2", "12:00:00")
+    assert update.run_update(spark, layout)
+    assert spark.table(layout.table("silver_observations")).count() == 936
+    assert spark.table(layout.table("gold_observations")).count() == 468
+
+
+def test_without_ranges_files_overlap(spark, files, layout, small_ranges):
+    _many_series(files, "run1", "08:00:00")
+    flows.drain(*update.start_bronze(spark, layout))
+    ranges = _file_ranges(spark.read.parquet(layout.path("bronze_observations")), ["series_id", "date"])
+    assert len(ranges) > 1 and not _apart(ranges)
+
+
+def test_an_empty_batch_has_no_ranges(spark, files, layout):
+    from dataclasses import replace
+
+    files.land("run1")
+    files.describe("run1", {"series_id": "DFF"})
+    assert update.run_update(spark, replace(layout, ranged_batches=True))
+    assert spark.table(layout.table("silver_observations")).count() == 0
+    assert spark.table(layout.table("silver_metadata")).count() == 1
+
+
 def test_upserted_view_is_the_current_view(spark, files, layout, rows):
     from dataclasses import replace
 

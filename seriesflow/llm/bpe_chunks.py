@@ -8,7 +8,9 @@ it to the next one behind it, over as many chunks as that takes, is encoded agai
 counts when those have exactly the tokens that they have in their chunks.
 
 Words apart from white space never share tokens in this vocabulary, so a chunk is made of words whose tokens a worker
-keeps, too, in a bounded store; the library sees each of those once. Nothing is shuffled but chunk hashes.
+keeps, too, in a bounded store; the library sees each of those once, many in one text with a mark between two (``MARK``).
+A word that differs from another one in capitals of ASCII or in a mark of punctuation at its end has the tokens of that
+one (``core``). Nothing is shuffled but chunk hashes.
 
 A null text is empty; empty texts have no tokens. Rows keep all their columns but ``n_tokens, ids, decoded``, which
 are replaced. Special strings inside texts are tokens, as the library does by default.
@@ -37,10 +39,15 @@ HOT, HOT_BYTES = 4096, 16384
 #: Bounds of a worker's stores: bytes of chunks, number of words, characters of a stored word.
 STORE_BYTES, STORE_WORDS, WORD_CHARS = 24_000_000, 900_000, 64
 
+#: Stands between words that the library gets as one text, so many at a time.
+MARK, JOINED = "\x01", 128
+
 #: White space of the tokenizer's pattern (Unicode White_Space); str.split knows four more characters.
 _BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _SPACE = re.compile(f"[{''.join(map(chr, _BLANKS))}]+")
 _MORE = re.compile("[\x1c-\x1f]")
+#: A mark of punctuation that no letter or digit before it shares a token with. U+0130 in small letters ends with a combining dot.
+_ENDED = re.compile(r"[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F][.,;:!?]\Z")
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -74,6 +81,13 @@ def split_words(text: str) -> list[str]:
     return _SPACE.split(text) if _MORE.search(text) else text.split()
 
 
+def core(word: str) -> tuple[str, str]:
+    """What the library has to see of a word: without capitals of ASCII, and apart from its last mark of punctuation."""
+    if word.isascii() and "<|" not in word:  # special strings are told apart by their capitals
+        word = word.lower()
+    return (word[:-1], word[-1]) if _ENDED.search(word) else (word, "")
+
+
 class Piece:
     """An encoded chunk: the parts of words at its ends, and the tokens of the whole words between them."""
 
@@ -96,6 +110,15 @@ class Encoder:
 
     def __init__(self, path: str, hot: dict[bytes, Piece] | None = None) -> None:
         self.own, self.hot = tokenizer(path), hot or {}
+        marked = self.own.encode(MARK, add_special_tokens=False).ids
+        #: The token that stands for the mark, and for nothing else.
+        self.mark = marked[0] if len(marked) == 1 else None
+        #: What a token is decoded to, where the vocabulary has no decoder and the library puts a space between two.
+        self.names = None
+        if self.own.decoder is None:
+            self.names = np.full(self.own.get_vocab_size(), "", object)
+            for name, i in self.own.get_vocab().items():
+                self.names[i] = name
         self.words: dict[str, bytes] = {}
         self.store: dict[bytes, Piece] = {}
         self.stored = 0
@@ -104,6 +127,36 @@ class Encoder:
         """Tokens of each text, four bytes each."""
         return [array("I", e.ids).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Tokens of each word. What costs the library the same for every text is paid once for ``JOINED`` words."""
+        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        texts = [f" {MARK} ".join([*g, ""]) for g in groups]
+        if self.mark is None or any(t.count(MARK) != len(g) for t, g in zip(texts, groups, strict=True)):
+            return self._encode(words)
+        out: list[bytes] = []
+        for e in self.own.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(e.ids, np.uint32)
+            last, data = 0, ids.tobytes()
+            for end in (4 * np.flatnonzero(ids == self.mark)).tolist():
+                out.append(data[last:end])
+                last = end + 4
+        return out
+
+    def words_of(self, new: list[str]) -> dict[str, bytes]:
+        """Tokens of words, each core encoded once."""
+        cores = [core(w) for w in new]
+        fresh = list({x for c in cores for x in c if x}.difference(self.words))
+        ids = dict(zip(fresh, self._encode_words(fresh), strict=True))
+        for x in {x for c in cores for x in c}.difference(ids):
+            ids[x] = self.words[x] if x else b""
+        return {w: ids[c] + ids[end] if end else ids[c] for w, (c, end) in zip(new, cores, strict=True)}
+
+    def decode(self, ids: list[bytes]) -> list[str]:
+        """As the library decodes, special tokens not skipped."""
+        if self.names is None:
+            return self.own.decode_batch([array("I", x).tolist() for x in ids], skip_special_tokens=False)
+        return [" ".join(self.names[np.frombuffer(x, "<u4")]) for x in ids]
+
     def pieces(self, wanted: set[bytes]) -> dict[bytes, Piece]:
         """The encoded form of each chunk; new ones are encoded together."""
         found, fresh = {}, {}
@@ -116,17 +169,18 @@ class Encoder:
         if len(self.words) > STORE_WORDS:
             self.words.clear()
         known = self.words
-        new = list({w for p in fresh.values() for w in p.ids}.difference(known))
-        local = dict(zip(new, self._encode(new), strict=True))
-        known.update((w, i) for w, i in local.items() if len(w) <= WORD_CHARS)
+        local = self.words_of(list(set().union(*[p.ids for p in fresh.values()]).difference(known)))
+        known.update(local)
         for c, p in fresh.items():
-            p.ids = b"".join([known[w] if w in known else local[w] for w in p.ids])
+            p.ids = b"".join(map(known.__getitem__, p.ids))
             if self.stored + 3 * len(c) > STORE_BYTES:
                 self.store.clear()
                 self.stored = 0
             if 3 * len(c) <= STORE_BYTES // 8:
                 self.store[c] = p
                 self.stored += 3 * len(c)
+        for w in [w for w in local if len(w) > WORD_CHARS]:
+            del known[w]
         return found | fresh
 
     def repaired(self, joins: list[tuple[list[str], str, list[str]]]) -> list[bytes]:
@@ -240,12 +294,11 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, text: str = "text",
             for i in range(0, batch.num_rows, 128):
                 part = batch.slice(i, 128)
                 ids = encoder.encode([(t or "").encode() for t in part.column(text).to_pylist()])
-                decoded = encoder.own.decode_batch([array("I", x).tolist() for x in ids], skip_special_tokens=False)
                 arrays = [
                     *part.columns,
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array(ids, pa.binary()),
-                    pa.array(decoded, pa.string()),
+                    pa.array(encoder.decode(ids), pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, "n_tokens", "ids", "decoded"])
 

@@ -392,3 +392,31 @@ def test_suffix_order():
     text = [bytes(data[s : s + n]) for s, n in zip(start, length, strict=True)]
     assert [text[i] for i in order] == [t for _, t in sorted(zip(group.tolist(), text, strict=True))]
     assert (lcp == -1).sum() == len(set(group.tolist()))
+
+
+def test_bpe_words_reach_the_library_few_at_a_time():
+    """The library gets each core once, many in one text; the tokens and decoded texts stay the library's."""
+    path = tokenizer_path("word_bpe_49k.json")
+    encoder = bpe_chunks.Encoder(path)
+    rng = random.Random(9)
+    plain = [sentence(rng, 400) for _ in range(8)]
+    odd = ["A a. A! don't. don't, IT'S it's; x2? 2. ... .", "<|ENDOFTEXT|> <|endoftext|>. a<|endoftext|>B, <|", "Été été. ÉTÉ, é. İ, Σας. ß:", "a \x01 b\x01c. \x01", ""]
+    texts = [*plain, " ".join(t.capitalize() + "." for t in plain[0].split()), *odd]
+    seen = []
+
+    class Counting:
+        def encode_batch_fast(self, given, **options):
+            seen.extend(given)
+            return library.encode_batch_fast(given, **options)
+
+    library, encoder.own = encoder.own, Counting()
+    ids = encoder.encode([t.encode() for t in plain])
+    assert len(seen) < len({w for t in plain for w in t.split()}) / 4
+    seen.clear()
+    ids += encoder.encode([texts[len(plain)].encode()])
+    # Only words at cuts of chunks are seen again.
+    assert sum(len(t.split()) for t in seen) < 100
+    ids += encoder.encode([t.encode() for t in odd])
+    expected = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == expected
+    assert encoder.decode(ids) == [library.decode(x, skip_special_tokens=False) for x in expected]

@@ -691,16 +691,23 @@ def b7_described_table(spark, d):
 def b8_layout(spark, d):
     """Files of a clustered table whose ranges of series and dates overlap, and the rows in all files."""
     path = scratch_path(spark, "b8layout")
-    tables.clustered(big(spark, d), ["series_id", "date"], 8).write.parquet(path)
+    ranges = tables.range_count(landing.total_bytes(spark, f"{d}/lineitem.parquet"), 8)
+    tables.clustered(big(spark, d), ["series_id", "date"], ranges).write.parquet(path)
     return _overlaps(spark.read.parquet(path), ["series_id", "date"], 8)
 
 
 def _overlaps(rows: DataFrame, by: Sequence[str], several: int) -> DataFrame:
-    """How many files of a table overlap others in their ranges of ``by``, the rows, and whether there are ``several`` files."""
-    key = F.struct(*by)
-    held = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")
-    )
+    """How many files of a table overlap others in their ranges of ``by``, the rows, and whether there are ``several`` files.
+
+    Bounds of texts can't be updated in place, so that each task would sort all its rows by file: the series of a file come
+    first, with the bounds of their dates, which can.
+    """
+    *texts, last = by if len(by) > 1 else (*by, None)
+    # A missing date counts as the lowest.
+    dates = [F.when(F.count(last) == F.count(F.lit(1)), F.min(last)).alias("first"), F.max(last).alias("last")] if last else []
+    each = rows.groupBy(F.col("_metadata.file_path").alias("file"), *texts).agg(F.count(F.lit(1)).alias("n"), *dates)
+    low, high = (F.struct(*texts, *([F.col(bound).alias("at")] if last else [])) for bound in ("first", "last"))
+    held = each.groupBy("file").agg(F.min(low).alias("low"), F.max(high).alias("high"), F.sum("n").alias("n"))
     before = F.max("high").over(Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
     marked = held.withColumn("overlaps", F.coalesce(before > F.col("low"), F.lit(False)))
     return marked.agg(F.count_if("overlaps").alias("overlapping"), F.sum("n").alias("n"), (F.count("file") >= several).alias("many"))

@@ -104,6 +104,15 @@ def ranged(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> D
     return df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
 
 
+#: Bytes of columnar input for one range: its rows are sorted by one task.
+RANGE_BYTES = 32 << 20
+
+
+def range_count(input_bytes: int, least: int = 1) -> int:
+    """How many ranges an input of this size is to be cut into, so that the rows of one don't grow with it."""
+    return max(least, -(-input_bytes // RANGE_BYTES))
+
+
 def clustered(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Range-partitioned and sorted rows, so that file and row-group statistics skip other keys; see :func:`ranged`."""
     return ranged(df, by, partitions).sortWithinPartitions(*by)

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
+import driver_queries
 from seriesflow import __main__ as jobs
 from seriesflow.plans import layers
 from seriesflow.plans.landing_run import land
@@ -373,3 +374,28 @@ def test_series_ids_with_hyphens_and_dots_stay_apart(spark, tmp_path):
         (tmp_path / name).write_text('{"observations": []}')
     read = payloads.read_payloads(spark, str(tmp_path))
     assert sorted(r["series_id"] for r in read.collect()) == ["A-B", "A-C", "A-C", "A.D", "E"]
+
+
+def test_layout_report_sorts_no_rows_by_file(spark, tmp_path):
+    """Bounds of the files come from the series of each, not from all rows in order; missing dates are the lowest."""
+    day = dt.date(2024, 1, 1)
+    parts = [[("a", day), ("b", None)], [("b", day), ("c", day)], [("b", None), ("b", day)], [(None, day), (None, None)]]
+    for number, part in enumerate(parts):
+        spark.createDataFrame(part, "series_id string, date date").coalesce(1).write.parquet(f"{tmp_path}/t/run={number}")
+    rows = spark.read.option("recursiveFileLookup", True).schema("series_id string, date date").parquet(f"{tmp_path}/t")
+    report = driver_queries._overlaps(rows, ["series_id", "date"], 4)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("HashAggregate") :]
+    assert "Scan parquet" in below and "Sort" not in below
+    # (a, 1) to (b, null), (b, null) to (b, 1), (b, 1) to (c, 1), and null to (null, 1): one bound is shared, none is crossed.
+    assert [tuple(r) for r in report.collect()] == [(0, 8, True)]
+    assert tuple(driver_queries._overlaps(rows, ["series_id"], 5).first())[1:] == (8, False)
+    crossing = spark.createDataFrame([("a", None), ("z", day)], "series_id string, date date")
+    crossing.coalesce(1).write.parquet(f"{tmp_path}/t/run=9")
+    more = spark.read.option("recursiveFileLookup", True).schema("series_id string, date date").parquet(f"{tmp_path}/t")
+    assert driver_queries._overlaps(more, ["series_id", "date"], 4).first()[0] > 0
+
+
+def test_ranges_follow_the_input():
+    assert tables.range_count(0, 8) == tables.range_count(8 * tables.RANGE_BYTES, 8) == 8
+    assert tables.range_count(80 * tables.RANGE_BYTES + 1, 8) == 81

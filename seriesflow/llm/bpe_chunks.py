@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-from seriesflow.llm.common import ROW, identified, materialize
+from seriesflow.llm.common import ROW, identified, materialize, worker_store
 from seriesflow.llm.token_counts import tokenizer
 
 #: A cut for some 2^CUT_BITS bytes, none within LEAST bytes of the last one.
@@ -229,6 +229,7 @@ class Encoder:
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
+    worker_store("bpe_chunks")
     for batch in batches:
         rows, hashes = [], []
         for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -277,10 +278,10 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, text: str = "text",
     most = hot_chunks(spark, docs, text, hot)
     digest = hashlib.sha256(b"".join(most)).hexdigest()
     shared = spark.sparkContext.broadcast(most)
-    kept: dict[str, Encoder] = _encoders
     name = f"{path}:{digest}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, Encoder] = worker_store("bpe_chunks")
         if name not in kept:
             kept.clear()
             encoder = Encoder(path)
@@ -306,9 +307,6 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, text: str = "text",
     return docs.mapInArrow(run, schema)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def report(encoded: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The digests of ``encode``."""
     return encoded.select(

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
+from contextlib import suppress
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +54,26 @@ def release(spark: SparkSession, *tables: DataFrame | str) -> None:
                 written.remove(folder)
 
 
+_worker_stores: dict[str, dict] = {}
+
+
+def worker_store(operator: str) -> dict:
+    """What this process keeps for an operator from task to task.
+
+    Python workers outlive the stages of a pipeline, so what they have kept for another operator goes, and its memory back
+    to the system: beside the JVM of the same executor it would be missing there.
+    """
+    others = [name for name in _worker_stores if name != operator]
+    if others:
+        for other in others:
+            _worker_stores.pop(other).clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+    return _worker_stores.setdefault(operator, {})
+
+
 def own_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores until no column of ``df`` has it, whatever the case."""
     taken = {c.lower() for c in df.columns}

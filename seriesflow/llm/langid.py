@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import own_name
+from seriesflow.llm.common import own_name, worker_store
 
 LENGTH = 160
 WIDTHS = (2, 3, 4)
@@ -163,9 +163,6 @@ def train(
     return Network(langs).fit(x, y) if langs else None
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def predictor(network: Network) -> Callable:
     """A vectorised function of a text column: ``struct<lang_pred, score>``."""
     langs, packed = network.langs, pickle.dumps(network.params)
@@ -173,10 +170,11 @@ def predictor(network: Network) -> Callable:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(pickle.loads(packed))
-        index, score = _scorers[key].predict([t or "" for t in texts])
+        scorers: dict[str, Scorer] = worker_store("langid")
+        if key not in scorers:
+            scorers.clear()
+            scorers[key] = Scorer(pickle.loads(packed))
+        index, score = scorers[key].predict([t or "" for t in texts])
         return pd.DataFrame({"lang_pred": [langs[i] for i in index], "score": score})
 
     return predict

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import ROW, components, materialize, numbered, release, stored
+from seriesflow.llm.common import ROW, components, materialize, numbered, release, stored, worker_store
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS_PER_BAND = 24, 5
@@ -159,6 +159,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_store("near_dups")
     for batch in batches:
         keys, sizes, bands, coordinates = [], [], [], []
         for row, text in zip(batch.column(ROW).to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -183,6 +184,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_store("near_dups")
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -192,6 +194,7 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_store("near_dups")
     kept: dict[int, tuple] = {}
 
     def bag(row: int, text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -274,6 +277,7 @@ def _linked_in_cell(bucket: int, cell: list[dict]) -> list[tuple]:
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_store("near_dups")
     key, cell = None, []
 
     def links_of(cell: list[dict]) -> pa.RecordBatch:

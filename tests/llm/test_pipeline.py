@@ -6,7 +6,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from seriesflow.llm import oracle, queries
+from seriesflow.llm import common, oracle, queries
 from seriesflow.llm.token_counts import tokenizer
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -84,3 +84,23 @@ def test_stages_that_are_not_written_between(spark):
 
 def test_every_statement_has_a_query():
     assert set(oracle.statements()) == set(queries.registered()) - queries.WITHOUT_SQL
+
+
+def test_workers_keep_nothing_of_another_stage(spark):
+    """What a Python worker has kept for the tokens is gone once it signs texts for near duplicates."""
+    common.ship_package(spark)
+    docs = spark.createDataFrame([(i, i, b"one two three four five six") for i in range(64)], f"{common.ROW} bigint, doc_id bigint, text binary")
+
+    def held(batches):
+        import pyarrow as pa
+
+        from seriesflow.llm import common as own
+        from seriesflow.llm import near_dups as signer
+
+        for batch in batches:
+            own.worker_store("bpe_chunks")["name"] = "encoder"
+            assert "name" in own.worker_store("bpe_chunks")
+            list(signer._signed(iter([batch])))
+            yield pa.RecordBatch.from_arrays([pa.array([str(own._worker_stores)], pa.string())], ["kept"])
+
+    assert {r[0] for r in docs.mapInArrow(held, "kept string").collect()} == {"{'near_dups': {}}"}

@@ -23,9 +23,9 @@ from seriesflow.schemas import (
     SILVER_OBSERVATIONS,
     TABLES,
 )
-from seriesflow.session import path_exists, size_shuffles
+from seriesflow.session import path_exists, size_shuffles, spread_writes
 from seriesflow.sinks.tables import clustered, create_from_spec, quoted, ranged, refresh, refresh_partitions, table_properties
-from seriesflow.sources.landing import RUN_FOLDERS, stream_csv, stream_json, stream_table, total_bytes
+from seriesflow.sources.landing import RUN_FOLDERS, landed_files, stream_csv, stream_json, stream_table, total_bytes
 from seriesflow.streaming.flows import committed, drain, start_append, start_sorted
 from seriesflow.streaming.metrics import QualityRecorder, metric_name
 from seriesflow.streaming.named_csv import start_named_csv
@@ -252,7 +252,7 @@ def _refresh_gold(spark: SparkSession, layout: Layout, force: bool, arrived: boo
         return False
     size_shuffles(spark, total_bytes(spark, layout.path("silver_observations"), layout.path("silver_metadata")))
     if layout.gold == "incremental":
-        _refresh_periods(spark, layout, metadata, version, {} if force else found)
+        _refresh_periods(spark, layout, metadata, version, {} if force else found, arrived)
         return True
     spec = TABLES["gold_observations"]
     view = layers.GOLD_VIEWS[layout.gold](observations, metadata, layout.source)
@@ -270,9 +270,24 @@ def _refresh_gold(spark: SparkSession, layout: Layout, force: bool, arrived: boo
     return True
 
 
-def _refresh_periods(spark: SparkSession, layout: Layout, metadata: DataFrame, version: str, found: dict[str, str]) -> None:
+def _same_descriptions(version: str, found: dict[str, str]) -> bool:
+    """Whether the view was made of the committed batch of the dimension that ``version`` names."""
+    _, _, described = version.rpartition(";")
+    return not described.startswith("@") and found.get(_VERSION, "").rpartition(";")[2] == described
+
+
+def _changed_series(series: DataFrame, known: DataFrame) -> DataFrame:
+    """Series that one of two snapshots of the dimension holds and the other does not, or not as often: in one pass."""
+    counted = series.withColumn("_n", F.lit(1)).unionByName(known.withColumn("_n", F.lit(-1)))
+    return counted.groupBy(*series.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").select("series_id")
+
+
+def _refresh_periods(
+    spark: SparkSession, layout: Layout, metadata: DataFrame, version: str, found: dict[str, str], arrived: bool
+) -> None:
     """Rewrite the years that changed: those that batches since the last refresh brought rows for, and those that
-    hold a series whose description changed. The dimension of each refresh is kept for that comparison."""
+    hold a series whose description changed. The dimension of each refresh is kept for that comparison; without a new
+    batch of it the one that is there stays."""
     spec, table = TABLES["gold_observations"], layout.table("gold_observations")
     identity, batch = committed(spark, layout.checkpoint("current_observations"))
     current = layout.path("current_observations")
@@ -282,18 +297,24 @@ def _refresh_periods(spark: SparkSession, layout: Layout, metadata: DataFrame, v
         facts = spark.read.schema(stored).parquet(current)
         facts = facts.withColumnRenamed("_year", _PERIOD)
     # The snapshots take turns; the one that the table names stays until the refresh is complete.
-    turn = (int(found.get(_DIMENSION, "1")) + 1) % 2
+    turn = int(found.get(_DIMENSION, "1"))
     snapshots = f"{layout.path('gold_observations')}/dimension"
-    layers.latest_series(metadata).write.mode("overwrite").parquet(f"{snapshots}/{turn}")
+    # A batch that arrived need not be committed, so the version does not tell it.
+    same = _DIMENSION in found and not arrived and _same_descriptions(version, found)
+    if not same:
+        turn = 1 - turn
+        layers.latest_series(metadata).write.mode("overwrite").parquet(f"{snapshots}/{turn}")
     series = spark.read.parquet(f"{snapshots}/{turn}")
     known_identity, _, known_batch = found.get(_BATCH, "").partition("@")
     if _DIMENSION in found and known_identity == identity:
-        known = spark.read.schema(series.schema).parquet(f"{snapshots}/{1 - turn}")
-        changed = series.exceptAll(known).unionByName(known.exceptAll(series)).select("series_id")
-        described = keep_referenced(facts, changed).select(_PERIOD).distinct()
-        periods = {r[0] for r in described.collect()} | set(
-            touched_since(spark, layout.checkpoint("current_observations"), int(known_batch))
-        )
+        touched = touched_since(spark, layout.checkpoint("current_observations"), int(known_batch))
+        periods = set(touched)
+        if not same:
+            known = spark.read.schema(series.schema).parquet(f"{snapshots}/{1 - turn}")
+            # A year that is rewritten anyway need not be searched.
+            others = facts.where(~F.col(_PERIOD).isin([p for p in touched if p]))
+            described = keep_referenced(others, _changed_series(series, known)).select(_PERIOD).distinct()
+            periods |= {r[0] for r in described.collect()}
     else:
         periods = {r[0] for r in facts.select(_PERIOD).distinct().collect()}
         if spark.catalog.tableExists(table):
@@ -303,16 +324,25 @@ def _refresh_periods(spark: SparkSession, layout: Layout, metadata: DataFrame, v
     view = layers.gold_join(facts.where(F.col(_PERIOD).isin(periods)), series, layout.source)
     view = view.withColumn(_PERIOD, F.date_format("date", "yyyy"))
     properties = {**spec.properties, _VERSION: version, _BATCH: f"{identity}@{batch}", _DIMENSION: str(turn)}
-    refresh_partitions(
-        view.hint("rebalance", _PERIOD).sortWithinPartitions(_PERIOD, *spec.cluster_by),
-        table,
-        layout.path("gold_observations"),
-        _PERIOD,
-        periods,
-        spec.comment,
-        properties,
-        spec.schema,
-    )
+    with spread_writes(spark, _period_bytes(spark, current, periods)):
+        refresh_partitions(
+            view.hint("rebalance", _PERIOD).sortWithinPartitions(_PERIOD, *spec.cluster_by),
+            table,
+            layout.path("gold_observations"),
+            _PERIOD,
+            periods,
+            spec.comment,
+            properties,
+            spec.schema,
+        )
+
+
+def _period_bytes(spark: SparkSession, current: str, periods: list[str]) -> int:
+    """Size of the files that hold these years of the current observations."""
+    if not path_exists(spark, current):
+        return 0
+    held = F.element_at(F.split("file_path", "/"), -2).isin([f"_year={p}" for p in periods])
+    return landed_files(spark, current).where(held).agg(F.sum("file_size")).first()[0] or 0
 
 
 def run_update(spark: SparkSession, layout: Layout) -> bool:

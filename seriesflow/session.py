@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -70,6 +73,32 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return count
 
 
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+# A write is not cut into pieces below this size.
+_LEAST_PIECE_BYTES = 8 * 1024 * 1024
+
+
+def _as_bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * "_kmgtp".index(unit or "_")
+
+
+@contextmanager
+def spread_writes(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Let every core take a share of a rebalanced write of this size, also where all its rows have one key.
+
+    AQE cuts a key's partition only beyond the advisory size: a smaller one is one task, whatever the cores.
+    """
+    advisory = spark.conf.get(_ADVISORY)
+    share = max(_LEAST_PIECE_BYTES, -(-input_bytes // spark.sparkContext.defaultParallelism))
+    spark.conf.set(_ADVISORY, str(min(_as_bytes(advisory), share)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ADVISORY, advisory)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``, the storage all executors share.
 

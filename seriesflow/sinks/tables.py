@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from seriesflow.schemas import TableSpec
 from seriesflow.session import path_exists
+from seriesflow.sources.landing import landed_files
 
 
 def quoted(text: str) -> str:
@@ -168,6 +169,15 @@ def partition_location(spark: SparkSession, table: str, by: str, value: str) ->
     return described.filter("col_name = 'Location'").first()["data_type"]
 
 
+def _partition_files(spark: SparkSession, folder: str) -> set[tuple[str, str]]:
+    """(value, name) of the files in the partitions of a folder; their contents are not read."""
+    if not path_exists(spark, folder):
+        return set()
+    listed = landed_files(spark, folder).select(F.split("file_path", "/").alias("at"))
+    held = listed.select(F.element_at("at", -2).alias("partition"), F.element_at("at", -1).alias("name"))
+    return {(r["partition"].partition("=")[2], r["name"]) for r in held.collect()}
+
+
 def refresh_partitions(
     df: DataFrame,
     table: str,
@@ -193,12 +203,14 @@ def refresh_partitions(
         spark.sql(statement)
     live = {value: partition_location(spark, table, by, value) for value in values}
     home = {v: f"{root.rstrip('/')}/t{int(bool(at) and at.rstrip('/').rsplit('/', 2)[-2] == 't0')}" for v, at in live.items()}
-    chosen = df.where(F.col(by).isin(list(values)))
-    filled = {r[0] for r in chosen.select(by).distinct().collect()}
+    filled = set()
     for folder in sorted(set(home.values())):
         own = [v for v in values if home[v] == folder]
-        rows = chosen.where(F.col(by).isin(own))
+        rows = df.where(F.col(by).isin(own))
+        before = _partition_files(spark, folder)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(folder)
+        # Each write names its files anew, so a value has rows if it has a file that was not there.
+        filled |= {held for held, _ in _partition_files(spark, folder) - before}
     for value in values:
         spec = f"PARTITION (`{by}` = {quoted(value)})"
         at = quoted(f"{home[value]}/{by}={value}")

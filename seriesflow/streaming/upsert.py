@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from seriesflow.operators.revisions import latest_wins
-from seriesflow.session import path_exists
+from seriesflow.session import path_exists, spread_writes
+from seriesflow.sources.landing import total_bytes
 
 TOUCHED, CONFIRMED = "touched", "confirmed"
 
@@ -60,7 +61,7 @@ def upserter(
         staged = f"{staging.rstrip('/')}/{batch_id % 2}"
         if not _staged(spark, staged, batch_id):
             incoming = batch.withColumn(part, period_of)
-            if by_difference:
+            if by_difference and path_exists(spark, notes):
                 content = [c for c in batch.columns if c not in audit]
                 delivered = period_digests(latest_wins(incoming, keys, order_by), part, content, run)
                 held = _held(spark, notes, batch_id).drop("last").withColumnRenamed("period", "held_period")
@@ -89,9 +90,10 @@ def upserter(
             content = [c for c in batch.columns if c not in audit]
             written = period_digests(rows, part, content, run).drop("run")
             written.coalesce(1).write.mode("overwrite").parquet(f"{notes}/_batch={batch_id}")
-        rows.hint("rebalance", part).sortWithinPartitions(part, *keys).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(part).parquet(target)
+        with spread_writes(spark, total_bytes(spark, staged)):
+            rows.hint("rebalance", part).sortWithinPartitions(part, *keys).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(part).parquet(target)
 
     return upsert
 

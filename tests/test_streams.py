@@ -548,6 +548,49 @@ def test_incremental_view(spark, files, layout, rows):
     assert rows(spark.table(table).drop("period")) == rows(layers.gold_current(*silver, "SRC"))
 
 
+def test_new_observations_leave_the_descriptions(spark, files, layout, rows):
+    """Without a new batch of the dimension its snapshot is neither written again nor compared."""
+    from dataclasses import replace
+
+    layout = replace(layout, gold="incremental")
+    table, silver = (layout.table(name) for name in ("gold_observations", "silver_observations"))
+
+    def refreshed():
+        assert update.run_update(spark, layout)
+        expected = layers.gold_current(spark.table(silver), spark.table(layout.table("silver_metadata")), "SRC")
+        assert rows(spark.table(table).drop("period")) == rows(expected)
+        return tables.table_properties(spark, table)["seriesflow.dimension"]
+
+    files.land("a", "2024-12-10 08:00:00,DFF,N,2021-12-01,1", "2024-12-10 08:00:00,SOFR,N,2022-12-01,1")
+    files.describe("a", {"series_id": "DFF"}, {"series_id": "SOFR", "title": None})
+    first = refreshed()
+    files.land("b", "2024-12-11 08:00:00,DFF,N,2022-12-01,7")
+    assert refreshed() == first
+    files.describe("c", {"series_id": "SOFR", "title": "Told"}, run="2024-12-12 08:00:00")
+    second = refreshed()
+    assert second != first
+    # A batch that arrived need not be committed: its rows count all the same.
+    assert update.refresh_gold(spark, layout, arrived=True)
+    assert tables.table_properties(spark, table)["seriesflow.dimension"] == first
+
+
+def test_changed_series(spark, rows):
+    old = spark.createDataFrame([("A", "x"), ("B", None), ("C", "z"), ("D", "d")], "series_id string, title string")
+    new = spark.createDataFrame([("A", "x"), ("B", "y"), ("C", None), ("E", "e")], "series_id string, title string")
+    assert set(rows(update._changed_series(new, old))) == {("B",), ("C",), ("D",), ("E",)}
+
+
+def test_one_year_is_cut_into_several_files(spark, tmp_path):
+    """A year far below the advisory size is not the work of one task, in the upsert and in the view."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("date")
+    rows = [F.sha2(F.col("id").cast("string"), 256).alias("series_id"), day, "id", F.lit("r1").alias("run_timestamp")]
+    upsert.upserter(f"{tmp_path}/target", f"{tmp_path}/staged")(spark.range(400_000).select(*rows), 0)
+    target = tmp_path / "target"
+    assert [p.name for p in target.glob("_year=*")] == ["_year=2024"] and len(list(target.rglob("*.parquet"))) > 1
+    assert spark.read.parquet(str(target)).agg(F.count_distinct("id")).first()[0] == 400_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "128MB"
+
+
 def test_partitions_without_rows_go(spark, tmp_path, rows):
     table = f"parts_{uuid.uuid4().hex}"
     first = spark.createDataFrame([(1, "a"), (2, "b")], "x int, p string")
